@@ -38,8 +38,8 @@ def refs_sql(c):
 
 def places_sql(c):
     places = "[" + ", ".join(q(w) for w in K.PLACE_WORDS) + "]"
-    return (f"array_to_string(list_filter(string_split(regexp_replace(trim({c}), '\\s+', ' ', 'g'), ' '), "
-            f"w -> NOT list_contains({places}, w)), ' ')")
+    return (f"array_to_string([w for w in string_split(regexp_replace(trim({c}), '\\s+', ' ', 'g'), ' ') "
+            f"if NOT list_contains({places}, w)], ' ')")
 
 
 def suffix_sql(c):
@@ -123,8 +123,8 @@ query("str12_merchant_key", sql("SELECT tx_id, trim(lower(description)) AS text
     on_text("text", T.merchant_key))
 
 # The three account patterns, read one by one, as a sorted list.
-ACCOUNTS_SQL = r"""list_distinct(list_concat(list_transform(regexp_extract_all({d}, '\b\d{{3}}[- ]?\d{{6,9}}\b', 0, 'i'),
-  x -> regexp_replace(x, '[- ]', '')), regexp_extract_all({d}, '(TO|FROM)\s+(\d{{6,9}})\b', 2, 'i'),
+ACCOUNTS_SQL = r"""list_distinct(list_concat([regexp_replace(x, '[- ]', '') for x in
+  regexp_extract_all({d}, '\b\d{{3}}[- ]?\d{{6,9}}\b', 0, 'i')], regexp_extract_all({d}, '(TO|FROM)\s+(\d{{6,9}})\b', 2, 'i'),
   regexp_extract_all({d}, 'TRANSFER\s+\d+\s+(TO|FROM)\s+(\d{{6,9}})', 2, 'i')))"""
 
 

@@ -7,6 +7,7 @@ import decimal
 import math
 import os
 import sys
+import threading
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -44,7 +45,10 @@ def norm(v):
 
 def compare(df, con, statement):
     """Problems as text; empty when columns, kinds and rows agree."""
+    timer = threading.Timer(60, con.interrupt)
+    timer.start()
     cur = con.execute(statement)
+    timer.cancel()
     cols = [d[0] for d in cur.description]
     kinds = {d[0]: str(d[1]) for d in cur.description}
     want = cur.fetchall()
