@@ -107,7 +107,8 @@ def _tiers(tx, mapping, own_flag, params, rule_threshold, model_threshold, betwe
     for ok, pick, may_override in between:
         out = out.when(ok, final(pick) if may_override else pick)
     if "model_code" in tx.columns:
-        out = out.when(F.col("model_confidence") >= model_threshold, final(
+        scored = F.col("model_code").isNotNull() & (F.col("model_confidence") >= model_threshold)
+        out = out.when(scored, final(
             _pick(F.col("model_code"), F.col("model_confidence"), "model", "model")))
     out = out.when(mapped.isNotNull() & category.isNotNull(),
                    _pick(mapped, mapped_conf, "mapping", "mapping"))
