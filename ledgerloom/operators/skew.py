@@ -29,8 +29,10 @@ def attach(rows: DataFrame, per_key: DataFrame, keys: list[str], spread: list[st
         counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
     hot = F.broadcast(hot_keys(counts.filter(_all_set(keys)), keys, n))
     salts = F.coalesce(F.col("_salts"), F.lit(1))
+    # Rows without a full key match nothing; an outer join spreads them over all salts.
+    own = F.when(_all_set(keys), salts).otherwise(F.lit(HOT_SHARE))
     left = (rows.join(hot, keys, "left")
-            .withColumn("_salt", F.pmod(F.xxhash64(*spread), salts)).drop("_salts"))
+            .withColumn("_salt", F.pmod(F.xxhash64(*spread), own)).drop("_salts"))
     right = (per_key.join(hot, keys, "left")
              .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
              .drop("_salts"))
