@@ -42,40 +42,47 @@ def fuzzy_match(left: DataFrame, right: DataFrame, params: MatchParams = MatchPa
     """
     num, den = params.overlap_num, params.overlap_den
     lw = left.select("*", F.col("tx_date").alias("day"), word_set(F.col("description")).alias("words"))
-    sig = _need(lw.filter(F.size("words") > 0).select(*SIG).distinct(), num, den)
+    counts = lw.filter(F.size("words") > 0).groupBy(*SIG).agg(F.count(F.lit(1)).alias("_n"))
+    rw = right.select("customer_id", "seq", "ts", "cents", "code", "description",
+                      whole_day(F.col("ts")).alias("near_day"), word_set(F.col("description")).alias("words"))
     best_right = F.min(F.struct(
         "seq", F.col("code").alias("match_code"), F.col("description").alias("match_description"),
         F.col("ts").alias("match_ts")))
-    rw = right.select("customer_id", "seq", "ts", "cents", "code", "description",
-                      whole_day(F.col("ts")).alias("day"), word_set(F.col("description")).alias("words"))
-    rsig = _need(rw.filter(F.size("words") > 0).groupBy(*SIG).agg(best_right.alias("m")), num, den)
-    rsig = rsig.withColumn("cents", F.explode(F.sequence(
-        F.col("cents") - params.cents, F.col("cents") + params.cents)))
-    near = sig.withColumn("near_day", F.explode(F.sequence(
+    place = ["customer_id", "cents", "near_day"]
+    rsig = (rw.filter(F.size("words") > 0).groupBy(*place, "words").agg(best_right.alias("m"))
+            .withColumn("cents", F.explode(F.sequence(F.col("cents") - params.cents, F.col("cents") + params.cents))))
+    sig = counts.filter("_n > 0").withColumn("near_day", F.explode(F.sequence(
         F.date_sub("day", params.days), F.date_add("day", params.days))))
-    found = None
-    for k, keys in ((1, F.col("words")), (2, _pairs(F.col("words")))):
-        table = (rsig.filter(F.col("need") >= k).withColumn("key", F.explode(keys))
-                 .groupBy("customer_id", "cents", F.col("day").alias("near_day"), "key")
-                 .agg(F.min("m").alias("any"), F.min(F.when(F.col("need") == k, F.col("m"))).alias("own")))
-        asks = near.filter(F.col("need") >= k).withColumn("key", F.explode(keys))
-        hit = attach(asks, table, ["customer_id", "cents", "near_day", "key"], ["words", "day"])
-        part = hit.select(*SIG, F.when(F.col("need") == k, F.col("any")).otherwise(F.col("own")).alias("m"))
-        found = part if found is None else found.unionByName(part)
-    big_l = near.filter(F.col("need") >= 3).withColumn("key", F.explode(_pairs(F.col("words"))))
-    big_r = (rsig.filter(F.col("need") >= 3).withColumn("key", F.explode(_pairs(F.col("words"))))
-             .select("customer_id", "cents", F.col("day").alias("near_day"), "key", "m",
-                     F.col("words").alias("r_words"), F.col("need").alias("r_need")))
-    big = (big_l.join(big_r, ["customer_id", "cents", "near_day", "key"])
+    # Few rows meet another of the same customer, amount and days; only those are taken apart.
+    near = _need(sig.join(rsig.select(*place).distinct(), place, "left_semi"), num, den)
+    rnear = _need(rsig.join(near.select(*place).distinct(), place, "left_semi"), num, den)
+    key = [*place, "k", "key"]
+    table = (rnear.withColumn("e", F.explode(_keys())).select("*", "e.*").filter(F.col("need") >= F.col("k"))
+             .groupBy(*key).agg(F.min("m").alias("any"), F.min(F.when(F.col("need") == F.col("k"), F.col("m"))).alias("own")))
+    asks = near.withColumn("e", F.explode(_keys())).select("*", "e.*").filter(F.col("need") >= F.col("k"))
+    found = asks.join(table, key).select(
+        *SIG, F.when(F.col("need") == F.col("k"), F.col("any")).otherwise(F.col("own")).alias("m"))
+    long_r = (rnear.filter(F.col("need") >= 3).select(*place, "m", F.col("words").alias("r_words"), F.col("need").alias("r_need"))
+              .withColumn("key", F.explode(_pairs(F.col("r_words")))))
+    big = (near.filter(F.col("need") >= 3).withColumn("key", F.explode(_pairs(F.col("words"))))
+           .join(long_r, [*place, "key"])
            .filter(F.size(F.array_intersect("words", "r_words")) >= F.least("need", "r_need"))
            .select(*SIG, "m"))
     best = (found.unionByName(big).filter(F.col("m").isNotNull())
             .groupBy(*SIG).agg(F.min("m").alias("m")))
-    return attach(lw, best, SIG, ["tx_id"], "left").select(
+    return attach(lw, best, SIG, ["tx_id"], "left", counts=counts).select(
         *left.columns, F.col("m.seq").alias("match_seq"), "m.match_code", "m.match_description",
         "m.match_ts")
 
 
+def _keys() -> Column:
+    """Single words as k = 1 and pairs of words as k = 2."""
+    def tagged(c, k):
+        return F.transform(c, lambda x: F.struct(F.lit(k).alias("k"), x.alias("key")))
+
+    return F.concat(tagged(F.col("words"), 1), tagged(_pairs(F.col("words")), 2))
+
+
 def _need(df: DataFrame, num: int, den: int) -> DataFrame:
     return df.withColumn("need", F.expr(f"(size(words) * {num} + {den - 1}) div {den}"))
 

@@ -67,8 +67,15 @@ def mapping(spark: SparkSession) -> DataFrame:
                                 ("confidence", pa.float64())], MAPPING)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A small table is one scan task; give every core a part of it. Large scans stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    few = df._jdf.queryExecution().toRdd().getNumPartitions() < cores
+    return df.repartition(cores, key) if few else df
+
+
 def event_rows(spark: SparkSession, sf: str) -> DataFrame:
-    ev = table(spark, sf, "events").select("event_id", "user_id", "value").withColumn(
+    ev = spread(table(spark, sf, "events").select("event_id", "user_id", "value"), "event_id").withColumn(
         "idx", F.col("event_id") % len(CATALOGUE))
     number = (F.lit(1000) + F.col("event_id") % 9000).cast("string")
     return ev.join(catalogue(spark), "idx").select(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import tables
 from ..operators import filters, learning, matching
-from .base import CATALOGUE, catalogue, sql, table, transactions
+from .base import CATALOGUE, catalogue, spread, sql, table, transactions
 from .classify import NAME_SQL, NAMES
 from .registry import query
 
@@ -21,7 +21,7 @@ LAB = f"""lab AS (SELECT user_id AS customer_id, event_id AS seq,
 
 def labelled(spark, sf):
     e = F.col("event_id")
-    ev = table(spark, sf, "events").filter(e % 3 != 0).withColumn("idx", e % len(CATALOGUE))
+    ev = spread(table(spark, sf, "events"), "event_id").filter(e % 3 != 0).withColumn("idx", e % len(CATALOGUE))
     day = F.date_add(F.lit("2024-07-01").cast("date"),
                      ((e * 37 + F.col("user_id")) % 184 + e % 7 - 3).cast("int"))
     return ev.join(catalogue(spark), "idx").select(
