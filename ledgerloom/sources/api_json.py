@@ -18,7 +18,7 @@ GROUP = (f"id: string, analysis: struct<amount: struct<total: string>>, transact
 
 def read_documents(spark: SparkSession, path, **options) -> DataFrame:
     """Text documents with their path."""
-    return (spark.read.options(wholetext=True, **options).text(path)
+    return (spark.read.options(**options).text(path, wholetext=True)
             .select("value", F.col("_metadata.file_path").alias("path")))
 
 

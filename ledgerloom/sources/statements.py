@@ -75,7 +75,7 @@ def statement_json_rows(texts: DataFrame, value: str = "value") -> DataFrame:
 
 def read_statement_json(spark: SparkSession, path, **options) -> DataFrame:
     """SRC2: provider JSON files; one file is one document."""
-    texts = (spark.read.options(wholetext=True, **options).text(path)
+    texts = (spark.read.options(**options).text(path, wholetext=True)
              .withColumn("source_file", F.col("_metadata.file_path")))
     return statement_json_rows(texts)
 

@@ -26,7 +26,7 @@ def read_taxonomy(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str,
 
     from .. import tables
 
-    text = spark.read.option("wholetext", True).text(path).first()["value"]
+    text = spark.read.text(path, wholetext=True).first()["value"]
     data = _yaml(text)
     rows = [(str(g["code"]), str(g.get("name") or g.get("title") or ""), str(g["code"]).split("-")[0])
             for g in data.get("groups", []) if g.get("code")]
