@@ -165,7 +165,7 @@ def trusted_hint(category: Column) -> Column:
     """CLS6: struct for the provider categories that are trusted as they are."""
     out = None
     for name, code, confidence, label in tables.TRUSTED_HINTS:
-        value = _result(code, confidence, f"BS category: {label}")
+        value = _result(code, confidence, f"Provider category: {label}")
         out = F.when(category == name, value) if out is None else out.when(category == name, value)
     return out
 

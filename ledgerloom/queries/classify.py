@@ -102,7 +102,7 @@ def context_cases(pick):
     utility = " OR ".join(f"regexp_matches(d, {literal(bounded(w))})" for w in tables.UTILITY_WORDS)
     out.append(f"WHEN {utility} THEN {literal(tables.UTILITY_RESULT[pick])}")
     for name, code, conf, label in tables.TRUSTED_HINTS:
-        out.append(f"WHEN provider_category = {literal(name)} THEN {literal((code, conf, f'BS category: {label}')[pick])}")
+        out.append(f"WHEN provider_category = {literal(name)} THEN {literal((code, conf, f'Provider category: {label}')[pick])}")
     last = ("UNKNOWN", 0.5, "No confident pattern match")[pick]
     return "CASE " + " ".join(out) + f" ELSE {literal(last)} END"
 
