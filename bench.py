@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -21,7 +22,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("bench")
              .config("spark.sql.shuffle.partitions", cpus).config("spark.ui.enabled", "false")
-             .config("spark.driver.memory", "16g").config("spark.sql.session.timeZone", "UTC").getOrCreate())
+             .config("spark.driver.memory", "16g")
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ledgerloom-bench-")).config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     times = {}
     for name in sys.argv[1:] or HEADLINE:

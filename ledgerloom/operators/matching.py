@@ -11,6 +11,7 @@ from .filters import gold_rows, split_by_confidence
 from .learning import first_k
 from .rules import category_by_name
 from .skew import attach
+from .stage import written
 
 SIG = ["customer_id", "cents", "day", "words"]
 
@@ -53,9 +54,10 @@ def fuzzy_match(left: DataFrame, right: DataFrame, params: MatchParams = MatchPa
             .withColumn("cents", F.explode(F.sequence(F.col("cents") - params.cents, F.col("cents") + params.cents))))
     sig = counts.filter("_n > 0").withColumn("near_day", F.explode(F.sequence(
         F.date_sub("day", params.days), F.date_add("day", params.days))))
-    # Few rows meet another of the same customer, amount and days; only those are taken apart.
-    near = _need(sig.join(rsig.select(*place).distinct(), place, "left_semi"), num, den)
-    rnear = _need(rsig.join(near.select(*place).distinct(), place, "left_semi"), num, den)
+    # Few rows meet another of the same customer, amount and days; only those are taken apart,
+    # and as they are read several times they are written where a shared folder exists.
+    near = written(_need(sig.join(rsig.select(*place).distinct(), place, "left_semi"), num, den))
+    rnear = written(_need(rsig.join(near.select(*place).distinct(), place, "left_semi"), num, den))
     key = [*place, "k", "key"]
     table = (rnear.withColumn("e", F.explode(_keys())).select("*", "e.*").filter(F.col("need") >= F.col("k"))
              .groupBy(*key).agg(F.min("m").alias("any"), F.min(F.when(F.col("need") == F.col("k"), F.col("m"))).alias("own")))

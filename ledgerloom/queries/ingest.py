@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import values as V
 from ..operators import labels
-from ..plans.jobs import shared_folder
+from ..operators.stage import shared_folder
 from ..sources import api_json, files, sinks, statements, tables as table_files
 from .base import sql, table, transactions
 from .dataset import API, api, records

@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import labels, learning, matching, skew, transfers
+from ledgerloom.operators import labels, learning, matching, skew, stage, transfers
 
 D = dt.date
 
@@ -66,7 +66,7 @@ def test_transfers_against_brute_force(spark):
     assert {r.tx_id: r.is_own_transfer for r in transfers.flag_own_transfers(tx).collect()} == want
 
 
-def test_fuzzy_match_against_brute_force(spark):
+def test_fuzzy_match_against_brute_force(spark, tmp_path, monkeypatch):
     rnd = random.Random(11)
     vocab = [f"w{i}" for i in range(9)]
     left, right = [], []
@@ -89,6 +89,9 @@ def test_fuzzy_match_against_brute_force(spark):
         want[i] = best
     got = {r.tx_id: r.match_seq for r in matching.fuzzy_match(ldf, rdf).collect()}
     assert got == want and any(want.values())
+    monkeypatch.setattr(stage, "shared_folder", lambda _: str(tmp_path))
+    assert {r.tx_id: r.match_seq for r in matching.fuzzy_match(ldf, rdf).collect()} == want
+    assert len(list((tmp_path / "ledgerloom").iterdir())) == 2
 
 
 def fold(codes):
