@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 EXPENSE_DEFAULT = "EXP-039"
 INCOME_DEFAULT = "INC-007"
@@ -81,4 +81,3 @@ class MatchParams:
     overlap_num: int = 2
     overlap_den: int = 5
     samples: int = 3
-    extra: dict = field(default_factory=dict)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..config import DEFAULT_CODES, LearningParams
+from ..config import LearningParams
 from ..functions.text import merchant_pattern, parse_answer, pattern_variants
 from .filters import default_code
 from .skew import attach
@@ -282,7 +282,3 @@ def learning_curve(sessions: DataFrame) -> DataFrame:
 def recent_sessions(curve: DataFrame, n: int = 10) -> DataFrame:
     """TOP7: the newest sessions."""
     return curve.orderBy(F.desc("session")).limit(n)
-
-
-def is_default(code: Column) -> Column:
-    return code.isin(*DEFAULT_CODES)

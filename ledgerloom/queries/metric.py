@@ -150,12 +150,6 @@ def win2(spark, sf):
 
 # -- customer metrics ----------------------------------------------------------------
 
-def mean_sql(cond):
-    return f"""coalesce((SELECT ((2 * sum(t) + count(*)) // (2 * count(*))) / 100.0 FROM
-      (SELECT sum(abs(cents)) AS t FROM win w WHERE w.customer_id = c.customer_id AND ({cond})
-       GROUP BY strftime(tx_date, '%Y-%m'))), 0.0)"""
-
-
 def group_means(**conds):
     """One grouped subquery per metric instead of correlated ones."""
     parts = []
