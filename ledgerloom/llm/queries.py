@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat_format, mixing, multiset_hash, sharding
+from . import chat_format, decision_list, mixing, multiset_hash, sharding
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +75,9 @@ def op10(spark, sf):
     return read.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(F.array_join(each, ""), 256).alias("turns_sha256"),
                        F.length("loss_text").cast("bigint").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
                        F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
+@query("op8_decision_list")
+def op8(spark, sf):
+    out = decision_list.judge(documents(spark, sf, "doc_id", "text"), spark.read.parquet(f"{sf}/labels.parquet"))
+    return out.select("doc_id", *decision_list.BASE, "base_failed", "kept")
