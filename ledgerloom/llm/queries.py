@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat_format, decision_list, mixing, multiset_hash, sharding
+from . import chat_format, decision_list, mixing, multiset_hash, near_dup, sharding, substring_dedup
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,42 @@ def op10(spark, sf):
 def op8(spark, sf):
     out = decision_list.judge(documents(spark, sf, "doc_id", "text"), spark.read.parquet(f"{sf}/labels.parquet"))
     return out.select("doc_id", *decision_list.BASE, "base_failed", "kept")
+
+
+@query("op7_hyperminhash", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))
+    WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a AS doc_id, a AS other FROM both_ways UNION SELECT r.doc_id, l.b FROM reach r JOIN both_ways l ON r.other = l.a),
+least AS (SELECT doc_id, min(other) AS c FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(l.c, d.doc_id)) AS component_id,
+  d.doc_id = least(d.doc_id, coalesce(l.c, d.doc_id)) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least l ON l.doc_id = d.doc_id""")
+def op7(spark, sf):
+    return near_dup.link(documents(spark, sf, "doc_id", "text"))
+
+
+@query("op9_substring_dedup", r"""
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+starts AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM w WHERE len(words) >= 50),
+wins AS (SELECT doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS h FROM starts),
+bad AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) AS lo FROM wins) WHERE lo < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM bad),
+per AS (SELECT doc_id, list(k) AS ks FROM gone GROUP BY doc_id)
+SELECT w.doc_id, len(words) AS n_words, coalesce(len(ks), 0) AS n_removed,
+  sha256(array_to_string(list_filter(words, lambda x, i: ks IS NULL OR NOT list_contains(ks, i)), ' ')) AS kept_sha256
+FROM w LEFT JOIN per ON per.doc_id = w.doc_id""")
+def op9(spark, sf):
+    out = substring_dedup.remove_repeats(documents(spark, sf, "doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
