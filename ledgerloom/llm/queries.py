@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import chat_format, decision_list, mixing, multiset_hash, near_dup, sharding, substring_dedup
+from . import chat_format, decision_list, mixing, multiset_hash, near_dup, packing, sharding, substring_dedup, token_counts
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +121,15 @@ FROM w LEFT JOIN per ON per.doc_id = w.doc_id""")
 def op9(spark, sf):
     out = substring_dedup.remove_repeats(documents(spark, sf, "doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op1_best_fit_packing")
+def op1(spark, sf):
+    out = packing.pack(documents(spark, sf, "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+@query("op6_token_counts")
+def op6(spark, sf):
+    out = token_counts.token_counts(documents(spark, sf, "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
