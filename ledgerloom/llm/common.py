@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +50,26 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def map_texts(df: DataFrame, fn: Callable[[list[str | None]], dict], fields: str, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of ``df`` as they are, and ``fields`` (a DDL list) that ``fn`` makes of a
+    list of texts. Columns pass as Arrow, so null and large integers stay exact; ``fn`` sees at
+    most 256 texts at a time."""
+    made = df.sparkSession.createDataFrame([], fields).schema
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    kinds = to_arrow_schema(made)
+
+    def run(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                b = whole.slice(at, 256)
+                out = fn(b.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [pa.array(out[f.name], type=f.type) for f in kinds], names=[*keep, *kinds.names])
+
+    schema = type(made)([df.schema[c] for c in keep] + list(made))
+    return df.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
+
+
 def words(text: Column | str) -> Column:
     """Words of a text as an array; no text, no words."""
     text = F.col(text) if isinstance(text, str) else text

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import Scratch, components
+from .common import Scratch, components, map_texts
 
 SHINGLE = 5
 BUCKETS = 256           # registers, picked by the top 8 bits of a shingle's hash
@@ -58,24 +58,21 @@ def estimate(equal: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return np.clip((equal - chance) / (BUCKETS - chance), 0, 1)
 
 
-def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        out = []
-        for i, text in zip(b["doc_id"], b["text"]):
-            w = tokens.split(text, lower=True)
-            u = tokens.shingles(tokens.hashes(w), SHINGLE)
-            if len(u):
-                regs = registers(u)
-                out.append((i, len(u), tokens.identity(w), regs.tobytes(), band_keys(regs).view(np.int64)))
-            else:
-                out.append((i, 0, None, None, None))
-        yield pd.DataFrame(out, columns=["doc_id", "n", "same", "regs", "bands"]).astype({"doc_id": "Int64"})
+def _sketches(texts: list) -> dict:
+    out = {"n": [], "same": [], "regs": [], "bands": []}
+    for text in texts:
+        w = tokens.split(text, lower=True)
+        u = tokens.shingles(tokens.hashes(w), SHINGLE)
+        regs = registers(u) if len(u) else None
+        out["n"].append(len(u))
+        out["same"].append(tokens.identity(w) if len(u) else None)
+        out["regs"].append(regs.tobytes() if len(u) else None)
+        out["bands"].append(band_keys(regs).view(np.int64) if len(u) else None)
+    return out
 
 
-def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        sets = [tokens.shingles(tokens.hashes(tokens.split(t, lower=True)), SHINGLE).view(np.int64) for t in b["text"]]
-        yield pd.DataFrame({"doc_id": b["doc_id"], "set": sets})
+def _sets(texts: list) -> dict:
+    return {"set": [tokens.shingles(tokens.hashes(tokens.split(t, lower=True)), SHINGLE).view(np.int64) for t in texts]}
 
 
 def _ruled_in(least: float):
@@ -109,7 +106,7 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint"), "text")
-    all_ = scratch.write(texts.mapInPandas(_sketches, "doc_id bigint, n bigint, same binary, regs binary, bands array<bigint>"), "sketches")
+    all_ = scratch.write(map_texts(texts, _sketches, "n bigint, same binary, regs binary, bands array<bigint>", ["doc_id"]), "sketches")
     classes = scratch.write(all_.filter("doc_id is not null and n > 0").groupBy("same").agg(F.min("doc_id").alias("rep")), "classes")
 
     heads = classes.select(F.col("rep").alias("doc_id"), "same")
@@ -121,7 +118,7 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     ids = members.select("id").distinct()
     known = scratch.write(banded.join(ids, F.col("doc_id") == F.col("id"), "left_semi").select("doc_id", "n", "regs"), "registers")
     scratch.drop(banded)
-    sets = texts.join(ids, F.col("doc_id") == F.col("id"), "left_semi").mapInPandas(_sets, "doc_id bigint, set array<bigint>")
+    sets = map_texts(texts.join(ids, F.col("doc_id") == F.col("id"), "left_semi"), _sets, "set array<bigint>", ["doc_id"])
     sets = scratch.write(sets.dropDuplicates(["doc_id"]), "sets")
 
     links, found = [], scratch.write(docs.sparkSession.createDataFrame([], "id bigint, component bigint"), "none")

@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import chat_format, decision_list, mixing, multiset_hash, near_dup, packing, sharding, substring_dedup, token_counts
+from . import (chat_format, decision_list, mixing, multiset_hash, near_dup, packing, sharding, substring_dedup, token_counts,
+               toxicity)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -133,3 +134,9 @@ def op1(spark, sf):
 def op6(spark, sf):
     out = token_counts.token_counts(documents(spark, sf, "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
+@query("op4_nnpu_toxicity")
+def op4(spark, sf):
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    return toxicity.detect(documents(spark, sf, "doc_id", "text"), spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic"), held)

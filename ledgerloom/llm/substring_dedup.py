@@ -6,11 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import Scratch
+from .common import Scratch, map_texts
 
 SEED = 20  # words of an anchor
 
@@ -24,14 +25,14 @@ def _anchors(h: np.ndarray, length: int) -> np.ndarray:
 
 
 def _seeds(length: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for i, text in zip(b["doc_id"], b["text"]):
-                w = tokens.split(text)
-                found = _anchors(tokens.hashes(w), length) if len(w) >= length else []
-                out.append((i, len(w), tokens.identity(w), np.unique(found).view(np.int64) if len(found) else None))
-            yield pd.DataFrame(out, columns=["doc_id", "n", "same", "anchors"]).astype({"doc_id": "Int64"})
+    def run(texts: list) -> dict:
+        out = {"n": [], "same": [], "anchors": []}
+        for text in texts:
+            w = tokens.split(text)
+            out["n"].append(len(w))
+            out["same"].append(tokens.identity(w))
+            out["anchors"].append(np.unique(_anchors(tokens.hashes(w), length)).view(np.int64) if len(w) >= length else None)
+        return out
 
     return run
 
@@ -84,7 +85,7 @@ def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint"), "text").filter("doc_id is not null")
-    seeds = scratch.write(texts.mapInPandas(_seeds(length), "doc_id bigint, n bigint, same binary, anchors array<bigint>").filter(F.col("n") >= length), "seeds")
+    seeds = scratch.write(map_texts(texts, _seeds(length), "n bigint, same binary, anchors array<bigint>", ["doc_id"]).filter(F.col("n") >= length), "seeds")
     classes = scratch.write(seeds.groupBy("same").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("greatest")), "classes")
     firsts = seeds.join(classes.select("same", F.col("rep").alias("doc_id")), ["same", "doc_id"], "left_semi").select("doc_id", "anchors")
     placed = scratch.write(firsts.select(F.explode("anchors").alias("anchor"), "doc_id"), "anchors")
@@ -105,20 +106,23 @@ def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     return scratch.write(partly.union(copies), "repeats")
 
 
-def _without(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        total, gone, kept = [], [], []
-        for text, spans in zip(b["text"], b["repeats"]):
-            w = tokens.split(text)
-            keep, at = [], 0
-            for s in spans if spans is not None else []:
-                keep += w[at:s["start"]]
-                at = s["end"]
-            keep += w[at:]
-            total.append(len(w))
-            gone.append(len(w) - len(keep))
-            kept.append(b" ".join(keep).decode("utf-8", "surrogatepass"))
-        yield b.drop(columns=["text", "repeats"]).assign(n_words=total, n_removed=gone, kept_text=kept)
+def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for at in range(0, whole.num_rows, 256):
+            b = whole.slice(at, 256)
+            total, gone, kept = [], [], []
+            for text, spans in zip(b.column("text").to_pylist(), b.column("repeats").to_pylist()):
+                w = tokens.split(text)
+                keep, end = [], 0
+                for s in spans or []:
+                    keep += w[end:s["start"]]
+                    end = s["end"]
+                keep += w[end:]
+                total.append(len(w))
+                gone.append(len(w) - len(keep))
+                kept.append(b" ".join(keep).decode("utf-8", "surrogatepass"))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())],
+                                             names=["doc_id", "n_words", "n_removed", "kept_text"])
 
 
 def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
@@ -126,4 +130,30 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     ``repeats``, joined by one space (empty for null text)."""
     found = repeats(docs, length)
     rows = docs.select(F.col("doc_id").cast("bigint"), "text").join(found, "doc_id", "left")
-    return rows.mapInPandas(_without, "doc_id bigint, n_words bigint, n_removed bigint, kept_text string")
+    return rows.mapInArrow(_without, "doc_id bigint, n_words bigint, n_removed bigint, kept_text string")
+
+
+def cut_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
+    """``docs`` with their columns, without their repeats: texts that lose nothing are unchanged,
+    the others are their kept words joined by one space (``n_chars`` follows), and documents of
+    which no word is left are dropped."""
+    names = docs.columns
+    found = repeats(docs, length).select(F.col("doc_id").alias("_id"), "repeats")
+    rows = docs.join(found, F.col("doc_id") == F.col("_id"), "left")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = []
+            for text, spans in zip(b.column("text").to_pylist(), b.column("repeats").to_pylist()):
+                w, keep, end = tokens.split(text), [], 0
+                for s in spans:
+                    keep += w[end:s["start"]]
+                    end = s["end"]
+                texts.append(b" ".join(keep + w[end:]).decode("utf-8", "surrogatepass"))
+            at = b.schema.get_field_index("text")
+            yield b.set_column(at, "text", pa.array(texts, pa.string())).select(names)
+
+    changed = rows.filter("repeats is not null").select(*docs.columns, "repeats").mapInArrow(cut, docs.schema).filter("text <> ''")
+    if "n_chars" in docs.columns:
+        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return rows.filter("repeats is null").select(*docs.columns).unionByName(changed)

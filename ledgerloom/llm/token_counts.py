@@ -8,19 +8,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, text_of
+from .common import Scratch, map_texts, text_of
 from .encoders import encoder
 
 SPACE = " \t\n\x0b\x0c\r"
 
 
 def _whole(tokenizer: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoder(tokenizer)
-        for b in batches:
-            yield b.drop(columns="text").assign(n_tokens=enc.counts(list(b["text"])))
-
-    return run
+    return lambda texts: {"n_tokens": encoder(tokenizer).counts(texts)}
 
 
 def _chunks(tokenizer: str):
@@ -63,7 +58,7 @@ def token_counts(docs: DataFrame, tokenizer: str, chunk: int = 1 << 15, overlap:
     scratch = Scratch(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint"), text_of("text").alias("text")).withColumn("n_bytes", F.octet_length("text").cast("bigint"))
     long = F.length("text") > chunk
-    short = rows.filter(~long).mapInPandas(_whole(tokenizer), "doc_id bigint, n_bytes bigint, n_tokens bigint")
+    short = map_texts(rows.filter(~long), _whole(tokenizer), "n_tokens bigint", ["doc_id", "n_bytes"])
     open_ = scratch.write(rows.filter(long).withColumn("row", F.monotonically_increasing_id()), "long")
     done, width = [short], overlap
     while not open_.isEmpty():
