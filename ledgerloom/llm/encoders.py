@@ -38,7 +38,7 @@ class Encoder:
         first = (pre.get("pretokenizers") or [{}])[0]
         rules = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
         self.by_word = (first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") is True
-                        and r"\s]" in first["pattern"].get("Regex", "") and set(rules) <= {"NFC", "Replace", "Lowercase"}
+                        and r"[^\s" in first["pattern"].get("Regex", "") and set(rules) <= {"NFC", "Replace", "Lowercase"}
                         and normal.count('"Replace"') <= 1 and not any(a.split() != [a] for a in self.added))
         self.known: dict = {}
 
