@@ -15,7 +15,7 @@ def parse_amount(c: Column) -> Column:
 
 def money(c: Column) -> Column:
     """PRJ5: two decimals, half away from zero; null when it is not a number."""
-    return F.round(parse_amount(c), 2).cast("decimal(18,2)")
+    return F.round(parse_amount(c), 2).try_cast("decimal(18,2)")
 
 
 def money_text(c: Column) -> Column:
@@ -47,13 +47,13 @@ def iso_date(c: Column) -> Column:
 
 
 def iso_timestamp(c: Column) -> Column:
-    """ISO text with optional zone (PRJ/SRC6), bad text is null."""
-    return c.try_cast("timestamp")
+    """ISO text as it reads on the clock: a zone is dropped, the session's is not used; bad text is null."""
+    return c.try_cast("timestamp_ntz")
 
 
 def cents(c: Column) -> Column:
     """Whole cents of a two-decimal amount as BIGINT."""
-    return (c.cast("decimal(18,2)") * 100).cast("bigint")
+    return (c.try_cast("decimal(18,2)") * 100).cast("bigint")
 
 
 def half_up_div(num: Column, den: Column) -> Column:

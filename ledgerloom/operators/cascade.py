@@ -9,7 +9,7 @@ from .. import tables
 from ..config import DEFAULT_CODES, EXTERNAL_TRANSFER, OWN_TRANSFER, CascadeParams
 from ..functions.text import has_internal_hint, merchant_text, payment_type
 from .filters import default_code, direction_ok, is_generic_category, is_vague_category
-from .rules import RuleBook, context_rule
+from .rules import RuleBook, context_rule, match_rules_join
 
 
 def _pick(code, confidence, source, branch) -> Column:
@@ -31,16 +31,28 @@ def with_mapping(tx: DataFrame, mapping: DataFrame | None) -> DataFrame:
     return tx.join(m, "provider_category", "left")
 
 
-def categorize(tx: DataFrame, rules: RuleBook | None = None, income: RuleBook | None = None,
+def _rule_column(step: DataFrame, rules: RuleBook | DataFrame, row_id: str) -> DataFrame:
+    """The first rule of each row as struct ``_rule``."""
+    if isinstance(rules, RuleBook):
+        return step.withColumn("_rule", rules.whole_word_match(F.col("merchant")))
+    found = match_rules_join(step, rules, "merchant", row_id, "_r")
+    rule = F.struct(F.col("_r_code").alias("code"), F.col("_r_confidence").alias("confidence"), F.col("_r_reason").alias("reason"))
+    return (found.withColumn("_rule", F.when(F.col("_r_code").isNotNull(), rule))
+            .drop("_r_code", "_r_confidence", "_r_reason", "_r_keyword"))
+
+
+def categorize(tx: DataFrame, rules: RuleBook | DataFrame | None = None, income: RuleBook | None = None,
                mapping: DataFrame | None = None, params: CascadeParams = CascadeParams(),
-               own_flag: str | None = None) -> DataFrame:
+               own_flag: str | None = None, row_id: str = "tx_id") -> DataFrame:
     """CLS8: five steps, direction aware. Adds merchant, tx_type, code, confidence, source,
     branch, direction_filtered, rule_low.
 
     ``own_flag`` names a flag column from ``flag_own_transfers``; without it only the
     provider's hints mark own-account transfers. Stateless per row, so it also runs on streams.
+    ``rules`` may be a table of any size: then keywords meet the texts in a join, with ``row_id``
+    to spread hot texts.
     """
-    rules, income = rules or RuleBook.seed(), income or RuleBook.income()
+    rules, income = RuleBook.seed() if rules is None else rules, income or RuleBook.income()
     amount, category = F.col("cents"), F.nullif(F.col("provider_category"), F.lit(""))
     own = (F.col(own_flag) if own_flag
            else has_internal_hint(F.col("provider_category"), F.col("third_party")))
@@ -49,8 +61,8 @@ def categorize(tx: DataFrame, rules: RuleBook | None = None, income: RuleBook |
                           "tx_type": payment_type(F.col("description")), "_own": own})
             .withColumn("_income", F.when(~F.col("_own") & (amount > 0),
                                           income.whole_word_match(F.col("merchant"))))
-            .withColumn("_rule", F.when(~F.col("_own") & F.col("_income").isNull(),
-                                        rules.whole_word_match(F.col("merchant"))))
+            .transform(_rule_column, rules, row_id)
+            .withColumn("_rule", F.when(~F.col("_own") & F.col("_income").isNull(), F.col("_rule")))
             .withColumn("_fits", F.coalesce(direction_ok(F.col("_rule.code"), amount), F.lit(False))
                         & F.col("_rule").isNotNull()))
     rule, inc, fits = F.col("_rule"), F.col("_income"), F.col("_fits")

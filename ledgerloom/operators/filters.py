@@ -99,7 +99,10 @@ def split_by_confidence(df: DataFrame, threshold: float = 0.8,
 
 def is_generic_category(category: Column, params: CascadeParams = CascadeParams()) -> Column:
     """FLT10: provider category without information (any listed text inside it)."""
-    return F.coalesce(category.rlike("|".join(params.generic)), F.lit(False))
+    found = F.lit(False)
+    for text in params.generic:
+        found = found | category.contains(text)
+    return F.coalesce(found, F.lit(False))
 
 
 def is_vague_category(category: Column, params: CascadeParams = CascadeParams()) -> Column:

@@ -136,10 +136,10 @@ def similar_patterns(asked: DataFrame, patterns: DataFrame,
                      k: int = LearningParams.similar) -> DataFrame:
     """JN7/TOP6: up to ``k`` dictionary patterns per asked form, by common words.
 
-    Similarity is |common| / max(|a|, |b|), ties in pattern order. With at most two words a
-    partial overlap is always one half, so per word only the first few patterns in tie order
-    can be among the best ``k``: the dictionary side is cut to those before the join and a
-    frequent word costs no more than a rare one. Longer dictionary entries are joined in full.
+    Similarity is |common| / max(|a|, |b|), ties in pattern order. Between a form and an entry of
+    at most two words a partial overlap is always one half, so per word only the first few
+    entries in tie order can be among the best ``k`` and a frequent word costs no more than a rare
+    one. Longer forms and longer entries are joined in full on their words.
     """
     words = F.array_sort(F.array_distinct(F.split("pattern", " ")))
     left = (asked.select("form").filter(F.col("form") != "").distinct()
@@ -149,10 +149,11 @@ def similar_patterns(asked: DataFrame, patterns: DataFrame,
     token_left = left.withColumn("_w", F.explode("_lw"))
     token_right = right.withColumn("_w", F.explode("_rw"))
     short = first_k(token_right.filter(F.size("_rw") <= 2), ["_w"], [F.asc("pattern")], k + 2).drop("_rn")
-    long = token_right.filter(F.size("_rw") > 2)
+    few = F.size("_lw") <= 2
     same = left.join(right.withColumnRenamed("_rw", "_lw"), "_lw").withColumn("_rw", F.col("_lw"))
     cols = ["form", "_lw", "pattern", "category", "examples", "_rw"]
-    near = token_left.join(short.unionByName(long), "_w").select(*cols)
+    near = (token_left.filter(few).join(short.unionByName(token_right.filter(F.size("_rw") > 2)), "_w")
+            .unionByName(token_left.filter(~few).join(token_right, "_w"))).select(*cols)
     pairs = same.select(*cols).unionByName(near).dropDuplicates(["form", "pattern"])
     scored = pairs.withColumn("similarity", F.size(F.array_intersect("_lw", "_rw"))
                               / F.greatest(F.size("_lw"), F.size("_rw")))
@@ -184,11 +185,14 @@ def medium_review(categorised: DataFrame) -> DataFrame:
 
 
 def read_answers(answers: DataFrame) -> DataFrame:
-    """LRN7: answers(form, answer) parsed; unusable ones keep a null code."""
+    """LRN7: answers(form, answer[, seq]) parsed, one row per form: the first usable answer by
+    ``seq``, or without it the most confident; a form without a usable one has a null code."""
     parsed = answers.withColumn("_a", parse_answer(F.col("answer")))
-    return (parsed.groupBy("form").agg(F.min(F.struct(
-        F.col("_a.category").alias("answer_code"), F.col("_a.confidence").alias("answer_confidence"),
-        F.col("_a.reasoning").alias("answer_reason"))).alias("_b"))
+    order = [F.col("seq")] if "seq" in answers.columns else [-F.col("_a.confidence")]
+    best = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)],
+                    F.col("_a.category").alias("answer_code"), F.col("_a.confidence").alias("answer_confidence"),
+                    F.col("_a.reasoning").alias("answer_reason"))
+    return (parsed.groupBy("form").agg(F.min(F.when(F.col("_a.category").isNotNull(), best)).alias("_b"))
         .select("form", "_b.answer_code", "_b.answer_confidence", "_b.answer_reason"))
 
 

@@ -21,7 +21,7 @@ def hot_keys(counts: DataFrame, keys: list[str], n: str, min_rows: int | None =
         return None
     rows = (known.filter(F.col(n) > limit)
             .select(*keys, F.ceil(F.col(n) / F.lit(limit)).cast("bigint").alias("_salts")))
-    return counts.sparkSession.createDataFrame(rows.limit(HOT_SHARE).toArrow())
+    return counts.sparkSession.createDataFrame(rows.toArrow())
 
 
 def attach(rows: DataFrame, per_key: DataFrame, keys: list[str], spread: list[str],

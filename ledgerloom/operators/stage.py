@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str | None:
-    """The folder all executors see, as the cluster names it."""
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The folder all executors see, as the session or the cluster names it."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
 
 def written(df: DataFrame, folder: str | None = None) -> DataFrame:

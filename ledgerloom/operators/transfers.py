@@ -66,16 +66,17 @@ def own_accounts(tx: DataFrame) -> DataFrame:
             .unionByName(paired_accounts(tx)).unionByName(hinted_accounts(tx)).distinct())
 
 
-def _substrings(c: Column, least: int, most: int) -> Column:
+def _substrings(c: Column, least: int) -> Column:
+    """All distinct substrings from ``least`` characters up to the whole text."""
     def of_length(n):
         return F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substr(c, i, n))
 
-    sizes = F.filter(F.sequence(F.lit(least), F.lit(most)), lambda n: n <= F.length(c))
+    sizes = F.when(F.length(c) >= least, F.sequence(F.lit(least), F.length(c))).otherwise(F.array().cast("array<int>"))
     return F.array_distinct(F.flatten(F.transform(sizes, of_length)))
 
 
-# Account numbers in descriptions have six to twelve digits.
-SHORTEST, LONGEST = 6, 12
+# An account is found inside a longer own account from six digits on.
+SHORTEST = 6
 
 
 def matching_accounts(accounts: DataFrame, own: DataFrame) -> DataFrame:
@@ -85,10 +86,10 @@ def matching_accounts(accounts: DataFrame, own: DataFrame) -> DataFrame:
     """
     accounts = accounts.select(*OWN).distinct()
     own = own.select("customer_id", F.col("account").alias("part")).distinct()
-    around = (accounts.withColumn("part", F.explode(_substrings(F.col("account"), 1, LONGEST)))
+    around = (accounts.withColumn("part", F.explode(_substrings(F.col("account"), 1)))
               .join(own, ["customer_id", "part"], "left_semi").select(*OWN))
     inside = accounts.join(
-        own.select("customer_id", F.explode(_substrings(F.col("part"), SHORTEST, LONGEST))
+        own.select("customer_id", F.explode(_substrings(F.col("part"), SHORTEST))
                    .alias("account")).distinct(), OWN, "left_semi")
     return around.unionByName(inside).distinct()
 

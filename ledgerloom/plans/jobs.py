@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 from ..config import CascadeParams, MetricParams
 from ..functions.text import merchant_pattern
 from ..functions.values import cents
-from ..operators import cascade, labels, learning, metrics, transfers
+from ..operators import cascade, filters, labels, learning, metrics, transfers
 from ..operators.rules import RuleBook
 from ..operators.stage import written
 
 
-def categorise(tx: DataFrame, rules: RuleBook | None = None, mapping: DataFrame | None = None,
+def categorise(tx: DataFrame, rules: RuleBook | DataFrame | None = None, mapping: DataFrame | None = None,
                learn_accounts: bool = False, params: CascadeParams = CascadeParams()) -> DataFrame:
     """CLS13: scored statement rows with category names."""
     flag = None
@@ -34,17 +34,27 @@ def categorise_card(card: DataFrame, mapping: DataFrame | None = None, patterns:
     return cascade.categorize_hybrid(tx, mapping)
 
 
-def customer_metrics(tx: DataFrame, rules: RuleBook | None = None, mapping: DataFrame | None = None,
+def customer_metrics(tx: DataFrame, rules: RuleBook | DataFrame | None = None, mapping: DataFrame | None = None,
                      accounts: DataFrame | None = None, params: MetricParams = MetricParams()) -> DataFrame:
     """Categorise, write, then all metrics of all customers."""
     categorised = cascade.categorize(tx, rules, None, mapping).select(*metrics.REQUIRED)
     return metrics.customer_metrics(written(categorised), accounts, params)
 
 
-def labelled_dataset(api: DataFrame, records: DataFrame, groups: DataFrame, runs: DataFrame) -> dict[str, DataFrame]:
-    """DST4: dataset, coverage, reconciliation and splits of all runs together."""
-    dataset = written(labels.label_transactions(api, records))
+def labelled_dataset(api: DataFrame, records: DataFrame, groups: DataFrame, runs: DataFrame,
+                     taxonomy: DataFrame | None = None, overrides: DataFrame | None = None) -> dict[str, DataFrame]:
+    """DST4: dataset, coverage, reconciliation and splits of all runs together.
+
+    Rows that fail validation are ``rejected`` with a reason. With a taxonomy the default codes
+    come from it (``default_codes`` says whether one is the fallback) and ``unknown_codes`` lists
+    labels outside it. ``runs`` with ``has_affordability_report`` tells which runs have a report.
+    """
+    good, rejected = filters.validate_api_rows(api)
+    codes = labels.default_codes(taxonomy, overrides) if taxonomy is not None else None
+    dataset = written(labels.label_transactions(good, records, labels.as_defaults(codes) if codes is not None else None))
     splits = labels.persona_splits(runs)
-    return {"dataset": dataset, "coverage": labels.coverage(dataset, records),
+    reports = runs.filter("has_affordability_report") if "has_affordability_report" in runs.columns else None
+    more = {} if codes is None else {"default_codes": codes, "unknown_codes": labels.check_labels(dataset, records, taxonomy)}
+    return {"dataset": dataset, "rejected": rejected, **more, "coverage": labels.coverage(dataset, records, reports),
             "reconciliation": labels.reconcile(dataset, groups), "splits": splits,
             "manifest": labels.split_manifest(splits), "split_personas": labels.split_personas(splits)}

@@ -21,9 +21,14 @@ DOC = 40  # rows per derived document
 
 
 def scratch(spark) -> str:
-    """A new folder for one round trip: shared on a cluster, temporary in local runs."""
+    """A new folder for one round trip, below the shared folder. Only a local master, whose
+    executors are the driver, may do without one."""
     shared = shared_folder(spark)
-    return f"{shared.rstrip('/')}/ledgerloom/{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="ledgerloom-")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="ledgerloom-")
+    return f"{shared.rstrip('/')}/ledgerloom/{uuid.uuid4().hex}"
 
 
 # -- provider statements -------------------------------------------------------------------
@@ -74,17 +79,20 @@ def src2(spark, sf):
 
 
 @query("src3_statement_folder", sql("""SELECT count(*) AS n, count(DISTINCT account_number) AS accounts, CAST(sum(CAST(round(amount * 100) AS BIGINT)) AS BIGINT)
-  AS cents FROM (""" + CANON + " UNION ALL " + CANON + ")"))
+  AS cents, 1 AS rejected FROM (""" + CANON + " UNION ALL " + CANON + ")"))
 def src3(spark, sf):
     root = scratch(spark)
     sinks.write_csv(provider_rows(spark, sf).drop("seq"), root + "/a")
     docs = json_documents(spark, sf)
-    # The text writer gives one file per partition folder, that is one document per file.
-    docs.write.partitionBy("doc_id").text(root + "/text")
+    # The text writer gives one file per partition folder, that is one document per file; one more is
+    # broken, and one more CSV file has other columns and no rows.
+    docs.unionByName(spark.createDataFrame([(-1, '{"transactions": [')], "doc_id bigint, value string")).write.partitionBy("doc_id").text(root + "/text")
+    sinks.write_csv(spark.createDataFrame([("x", "y")], "other string, description string").filter("false"), root + "/b")
     json = statements.read_statements(spark, root + "/text", "json")
-    both = statements.read_statements(spark, root + "/a", "csv").unionByName(json, allowMissingColumns=True)
+    both = statements.read_statements(spark, root + "/[ab]", "auto").unionByName(json, allowMissingColumns=True)
+    lost = api_json.rejected_documents(api_json.read_documents(spark, root + "/text", recursiveFileLookup=True))
     return both.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("account_number").alias("accounts"),
-                    F.sum(V.cents(F.col("amount"))).alias("cents"))
+                    F.sum(V.cents(F.col("amount"))).alias("cents")).withColumn("rejected", lost.agg(F.count(F.lit(1)).cast("int").alias("n")).scalar())
 
 
 @query("src7_categorised_csv", sql("""SELECT CAST(customer_id AS VARCHAR) AS customer_id, strftime(tx_date, '%Y-%m-%d') AS tx_date, description, cents, code

@@ -22,6 +22,14 @@ def read_documents(spark: SparkSession, path, **options) -> DataFrame:
             .select("value", F.col("_metadata.file_path").alias("path")))
 
 
+def rejected_documents(docs: DataFrame, value: str = "value") -> DataFrame:
+    """Documents whose text is not JSON, without the text, with a reason; the row readers skip
+    them, so a caller that must not lose any writes these beside the rows."""
+    doc = F.trim(F.coalesce(value, F.lit("")))
+    keep = [c for c in docs.columns if c != value]
+    return docs.filter((doc == "") | F.try_parse_json(doc).isNull()).select(*keep, F.lit("malformed document").alias("reason"))
+
+
 def _filled(*options: Column) -> Column:
     return F.coalesce(*[F.nullif(o, F.lit("")) for o in options], F.lit(""))
 
@@ -107,5 +115,13 @@ RUN_INDEX = ("run_id string, run_prefix string, part int, parts int, paths map<s
 
 
 def read_run_index(spark: SparkSession, path) -> DataFrame:
-    """SRC11: run index, one JSON object per line."""
-    return spark.read.schema(RUN_INDEX).json(path)
+    """SRC11: run index, one record per run. A run that was written in parts is put together."""
+    parts = spark.read.schema(RUN_INDEX).json(path)
+    lists = [f.name for f in parts.schema if f.dataType.simpleString() == "array<string>"]
+    once = [c for c in parts.columns if c not in (*lists, "run_id", "paths", "part", "parts")]
+    types = F.array_distinct(F.flatten(F.transform("_maps", F.map_keys)))
+    paths = F.map_from_entries(F.transform(types, lambda t: F.struct(t, F.array_sort(F.flatten(F.transform(
+        "_maps", lambda m: F.coalesce(F.try_element_at(m, t), F.array().cast("array<string>"))))))))
+    return (parts.groupBy("run_id").agg(*[F.array_sort(F.flatten(F.collect_list(c))).alias(c) for c in lists],
+                                        *[F.first(c, ignorenulls=True).alias(c) for c in once], F.collect_list("paths").alias("_maps"))
+            .withColumns({"paths": paths, "part": F.lit(0), "parts": F.lit(1)}).select(*parts.columns))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from ..functions.values import iso_date, iso_timestamp, parse_amount
+from ..functions.values import iso_date, iso_timestamp, money, parse_amount
 
 PROVIDER_FIELDS = ["accountType", "accountHolder", "accountName", "bsb", "accountNumber", "date",
                    "description", "amount", "Balance", "Category", "thirdParty", "transactionType", "pending"]
@@ -21,7 +23,7 @@ def _text(c: Column) -> Column:
 
 def _number(c: Column) -> Column:
     """Blank or invalid numbers are zero."""
-    return F.coalesce(F.round(parse_amount(c), 2).cast("decimal(18,2)"), F.lit(0).cast("decimal(18,2)"))
+    return F.coalesce(money(c), F.lit(0).cast("decimal(18,2)"))
 
 
 def canonical_rows(raw: DataFrame, balance: str = "Balance", category: Column | None = None,
@@ -41,16 +43,35 @@ def canonical_rows(raw: DataFrame, balance: str = "Balance", category: Column |
 def _csv(spark: SparkSession, path, fields, **options) -> DataFrame:
     """Text columns by header name; columns a file lacks are null.
 
-    The header of the first file gives the order. A file with another header is an error, not
-    a silent shift of columns; read such files in a call of their own.
+    Each file's own first line is its header: files are read once per distinct header and put
+    together by name, so a file with other columns costs nothing but itself. Empty files have
+    no rows. Without any file the result has the named fields and no rows.
     """
-    header = spark.read.options(header=True, inferSchema=False, **options).csv(path).columns
-    raw = (spark.read.options(header=True, enforceSchema=False, escape='"', **options)
-           .schema(", ".join(f"`{c}` string" for c in header)).csv(path))
-    have = set(header)
-    return raw.select("*", *[F.lit(None).cast("string").alias(f) for f in fields if f not in have],
-                      F.col("_metadata.file_path").alias("source_file"),
-                      F.col("_metadata.file_block_start").alias("block"))
+    return _by_header(spark, _headers(spark, path, **options), fields)
+
+
+def _headers(spark: SparkSession, path, **options) -> DataFrame:
+    """file and header: the first line of each file's first block, found where the file lies."""
+    try:
+        lines = spark.read.options(**options).text(path)
+    except AnalysisException:  # no file at all
+        return spark.createDataFrame([], "file string, header string")
+    first = lines.select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("n"),
+                         F.col("_metadata.file_block_start").alias("at")).filter("at = 0")
+    return first.groupBy("file").agg(F.min_by("value", "n").alias("header"))
+
+
+def _by_header(spark: SparkSession, headers: DataFrame, fields) -> DataFrame:
+    out = None
+    for r in headers.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files")).orderBy("header").collect():
+        reader = spark.read.options(header=True, escape='"')
+        names = reader.csv(r["files"][0]).columns
+        raw = (reader.options(enforceSchema=True).schema(", ".join(f"`{c}` string" for c in names)).csv(r["files"])
+               .withColumns({"source_file": F.col("_metadata.file_path"), "block": F.col("_metadata.file_block_start")}))
+        out = raw if out is None else out.unionByName(raw, allowMissingColumns=True)
+    if out is None:
+        out = spark.createDataFrame([], "source_file string, block bigint")
+    return out.select("*", *[F.lit(None).cast("string").alias(f) for f in fields if f not in out.columns])
 
 
 def read_statement_csv(spark: SparkSession, path, **options) -> DataFrame:
@@ -86,8 +107,12 @@ def read_statements(spark: SparkSession, path: str, format: str = "auto") -> Dat
         return read_statement_csv(spark, path)
     if format == "json":
         return read_statement_json(spark, path)
+    headers = _headers(spark, path, recursiveFileLookup=True)
+    is_json = F.lower("file").endswith(".json")
+    csv = canonical_rows(_by_header(spark, headers.filter(~is_json), PROVIDER_FIELDS))
+    if headers.filter(is_json).isEmpty():
+        return csv
     json = read_statement_json(spark, path, pathGlobFilter="*.[jJ][sS][oO][nN]", recursiveFileLookup=True)
-    csv = read_statement_csv(spark, path, pathGlobFilter="*.[cC][sS][vV]", recursiveFileLookup=True)
     return csv.unionByName(json, allowMissingColumns=True)
 
 
@@ -114,7 +139,7 @@ def card_rows(raw: DataFrame) -> DataFrame:
     extra = [c for c in raw.columns if c in ("customer_id", "source_file", "tx_id")]
     return raw.select(
         *extra, first_filled(raw, CARD_DESCRIPTION, "").alias("description"),
-        card_amount(first_filled(raw, CARD_AMOUNT, "0")).cast("decimal(18,2)").alias("amount"),
+        card_amount(first_filled(raw, CARD_AMOUNT, "0")).try_cast("decimal(18,2)").alias("amount"),
         first_filled(raw, CARD_DATE, "").alias("date")).filter(F.col("amount").isNotNull())
 
 
@@ -128,7 +153,7 @@ def provider_match_rows(raw: DataFrame) -> DataFrame:
     extra = [c for c in raw.columns if c in ("customer_id", "tx_id", "seq")]
     return raw.select(
         *extra, _text(F.col("description")).alias("description"),
-        parse_amount(F.regexp_replace(F.coalesce("amount", F.lit("0")), ",", "")).cast("decimal(18,2)").alias("amount"),
+        parse_amount(F.regexp_replace(F.coalesce("amount", F.lit("0")), ",", "")).try_cast("decimal(18,2)").alias("amount"),
         iso_date(F.col("date")).alias("date"), _text(F.col("Category")).alias("provider_category"),
         _text(F.col("thirdParty")).alias("third_party"), _text(F.col("accountType")).alias("account_type"),
     ).filter(F.col("amount").isNotNull() & F.col("date").isNotNull())
@@ -139,7 +164,7 @@ def labelled_match_rows(raw: DataFrame) -> DataFrame:
     extra = [c for c in raw.columns if c in ("customer_id", "seq")]
     return raw.select(
         *extra, "transaction_id", _text(F.col("description")).alias("description"),
-        parse_amount(F.coalesce("amount", F.lit("0"))).cast("decimal(18,2)").alias("amount"),
+        parse_amount(F.coalesce("amount", F.lit("0"))).try_cast("decimal(18,2)").alias("amount"),
         iso_timestamp(F.nullif("transaction_date", F.lit(""))).alias("ts"),
         _text(F.col("label_group_code")).alias("code"), _text(F.col("label_source")).alias("label_source"),
     ).filter(F.col("amount").isNotNull() & F.col("ts").isNotNull())
@@ -154,12 +179,12 @@ def categorised_rows(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     from ..functions.values import cents, day_first_date
 
     stem = F.regexp_replace(F.element_at(F.split("source_file", "/"), -1), r"\.[^.]*$", "")
-    amount = parse_amount(F.col("amount")).cast("decimal(18,2)")
+    amount = parse_amount(F.col("amount")).try_cast("decimal(18,2)")
     code = F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in ("code", "category_code") if c in raw.columns])
     customer = F.nullif(F.col("customer_id"), F.lit("")) if "customer_id" in raw.columns else F.lit(None)
     rows = raw.select(
         F.coalesce(customer, stem).alias("customer_id"),
-        F.concat_ws(":", "source_file", "block", "row_no").alias("tx_id"),
+        F.concat_ws(":", "source_file", "row_hash", "row_no").alias("tx_id"),
         day_first_date(F.col("date")).alias("tx_date"), F.col("description"),
         cents(amount).alias("cents"), code.alias("code"))
     return rows.filter(F.col("cents").isNotNull()), rows.filter(F.col("cents").isNull())
@@ -169,7 +194,11 @@ def read_categorised(spark: SparkSession, folder: str,
                      glob: str = "*categorized*.csv") -> tuple[DataFrame, DataFrame]:
     """SRC8: every customer's file of a folder in one read; bad rows come back apart.
 
-    A row is named by its file, block and place in the block.
+    A row is named by its file, a hash of its columns and its number among equal rows of the
+    file, which are interchangeable: the name does not depend on blocks, packing or cluster.
     """
-    raw = _csv(spark, folder, CATEGORISED_FIELDS, pathGlobFilter=glob)
-    return categorised_rows(raw.withColumn("row_no", F.monotonically_increasing_id()))
+    raw = _csv(spark, folder, CATEGORISED_FIELDS, pathGlobFilter=glob).drop("block")
+    same = [c for c in raw.columns if c != "source_file"]
+    raw = raw.withColumn("row_hash", F.hex(F.xxhash64(*same)))
+    copy = W.partitionBy("source_file", "row_hash").orderBy(F.monotonically_increasing_id())
+    return categorised_rows(raw.withColumn("row_no", F.row_number().over(copy)))

@@ -125,14 +125,20 @@ def test_conflicts_against_fold(spark):
     assert all((c is None) == (len(set(seen[t][0])) > 1) for t, c in strict.items())
 
 
-def test_default_codes():
+def test_default_codes(spark):
     import pytest
 
-    assert labels.default_codes([("EXP-039", "Uncategorised Debits"), ("INC-007", "Other")], {"income": "INC-007"}) == {
-        "expense": "EXP-039", "income": "INC-007"}
-    assert labels.default_codes([("UNKNOWN", "x")]) == {"expense": "UNKNOWN", "income": "UNKNOWN"}
-    with pytest.raises(ValueError):
-        labels.default_codes([("EXP-001", "x")])
+    def of(rows, asked=None):
+        asked = spark.createDataFrame(asked, "kind string, code string") if asked else None
+        return labels.default_codes(spark.createDataFrame(rows, "code string, name string"), asked)
+
+    both = of([("EXP-039", "Uncategorised Debits"), ("EXP-040", "uncategorized"), ("INC-007", "Other"), ("X-1", "Uncategorised income")], [("expense", "EXP-040")])
+    assert {(r.kind, r.code, r.fallback) for r in both.collect()} == {("expense", "EXP-040", False), ("income", "X-1", False)}
+    last = of([("UNKNOWN", "x")])
+    assert labels.as_defaults(last) == {"expense": "UNKNOWN", "income": "UNKNOWN"} and all(r.fallback for r in last.collect())
+    for rows, asked in (([("EXP-001", "x")], None), ([("EXP-039", "Uncategorised"), ("UNKNOWN", "x")], [("income", "INC-999")])):
+        with pytest.raises(ValueError):
+            labels.as_defaults(of(rows, asked))
 
 
 def test_similar_patterns_against_brute_force(spark):
@@ -140,7 +146,7 @@ def test_similar_patterns_against_brute_force(spark):
     words = [f"v{i}" for i in range(7)]
     names = sorted({" ".join(rnd.sample(words, rnd.choice([1, 2, 2, 4]))) for _ in range(60)})
     pats = spark.createDataFrame([(n, "c", [n]) for n in names], "pattern string, category string, examples array<string>")
-    forms = sorted({" ".join(rnd.sample(words, rnd.choice([1, 2]))) for _ in range(20)})
+    forms = sorted({" ".join(rnd.sample(words, rnd.choice([1, 2, 3, 5]))) for _ in range(30)})
     got = {}
     for r in learning.similar_patterns(spark.createDataFrame([(f,) for f in forms], "form string"), pats, 4).collect():
         got.setdefault(r.form, []).append((r["rank"], r.pattern))
