@@ -107,7 +107,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0,
     shards = max(1, -(-total // shard_words))
     drawn = spark.createDataFrame(slots, "sid int, blocks bigint, passes bigint, slots bigint, rest bigint")
     drawn = drawn.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("slots") - 1) / CHUNK))).alias("chunk")) if slots else drawn.withColumn("chunk", F.lit(0).cast("bigint"))
-    drawn = (drawn.filter("slots > 0").repartition(F.col("sid"), F.col("chunk"))
+    # Chunk rows are tiny and grow when exploded: a fixed number of tasks, and no broadcast of them.
+    tasks = max(1, sum(-(-x[3] // CHUNK) for x in slots) // 4)
+    drawn = (drawn.filter("slots > 0").repartition(tasks, F.col("sid"), F.col("chunk"))
              .select("*", F.explode(F.sequence(F.col("chunk") * CHUNK, F.least(F.col("chunk") * CHUNK + CHUNK, F.col("slots")) - 1)).alias("k")))
     in_pass = F.pmod("k", "blocks")
     drawn = (drawn.withColumn("pass", F.floor(F.col("k") / F.col("blocks")))
@@ -117,7 +119,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0,
                      F.pmod(F.xxhash64(F.lit(seed + 1), "sid", "k"), F.lit(shards)).cast("int").alias("shard"),
                      F.xxhash64(F.lit(seed + 2), "sid", "k").alias("place")))
     end = F.least(F.col("until") + 1, F.col("block") * block + F.col("take") - F.col("start"))
-    spans = (drawn.join(pieces, ["sid", "block"])
+    spans = (drawn.hint("merge").join(pieces, ["sid", "block"])
              .select("shard", "place", "sid", "pass", "block", "doc_id", "h", "start", "first", (end - F.col("first")).alias("n"))
              .filter("n > 0"))
     return placed, spans
