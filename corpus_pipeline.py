@@ -17,7 +17,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold; the classifier learns from all labels."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     model = toxicity.train(docs, labels, F.lit(True))
-    return toxicity.score(docs, model, docs.columns).filter(F.col("score") < TOXIC).select(*docs.columns)
+    return toxicity.score(docs, model, docs.columns, "_toxic_score").filter(F.col("_toxic_score") < TOXIC).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

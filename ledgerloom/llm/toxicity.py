@@ -173,15 +173,15 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, params: Params
     return Model(terms, w, b)
 
 
-def score(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
-    """``columns`` of ``docs`` and ``score`` (0 to 1) of every whole text; null and empty texts
+def score(docs: DataFrame, model: Model, columns: list[str], into: str = "score") -> DataFrame:
+    """``columns`` of ``docs`` and the score (0 to 1, as column ``into``) of every whole text; null and empty texts
     have no words, so their score is the bias."""
     def run(texts):
         places = _vocabulary(model.terms)
         z = np.array([model.bias + model.weights[places(t or "")].sum() for t in texts], dtype=float)
-        return {"score": 1 / (1 + np.exp(-z))}
+        return {into: 1 / (1 + np.exp(-z))}
 
-    return map_texts(docs, run, "score double", columns)
+    return map_texts(docs, run, f"{into} double", columns)
 
 
 def detect(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.3, params: Params = Params()) -> DataFrame:
