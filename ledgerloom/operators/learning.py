@@ -14,6 +14,7 @@ from ..config import LearningParams
 from ..functions.text import merchant_pattern, parse_answer, pattern_variants
 from .filters import default_code
 from .skew import attach
+from .stage import written
 
 PATTERN_SCHEMA = ("pattern string, category string, confidence double, source string, "
                   "learned_at string, usage_count bigint, last_used string, examples array<string>")
@@ -146,6 +147,8 @@ def similar_patterns(asked: DataFrame, patterns: DataFrame,
             .withColumn("_lw", F.array_sort(F.array_distinct(F.split("form", " ")))))
     right = (patterns.select("pattern", "category", "examples").filter(F.col("pattern") != "")
              .withColumn("_rw", words))
+    # Both are read several times below.
+    left, right = written(left), written(right)
     token_left = left.withColumn("_w", F.explode("_lw"))
     token_right = right.withColumn("_w", F.explode("_rw"))
     short = first_k(token_right.filter(F.size("_rw") <= 2), ["_w"], [F.asc("pattern")], k + 2).drop("_rn")

@@ -61,9 +61,29 @@ def declared_accounts(tx: DataFrame) -> DataFrame:
 
 
 def own_accounts(tx: DataFrame) -> DataFrame:
-    """TRF1/TRF4/SET1: accounts that belong to each customer."""
-    return (declared_accounts(tx).unionByName(two_way_accounts(tx))
-            .unionByName(paired_accounts(tx)).unionByName(hinted_accounts(tx)).distinct())
+    """TRF1/TRF4/SET1: accounts that belong to each customer.
+
+    One pass names every account with the kinds of evidence its row gives; one grouping then
+    decides what ``declared_accounts``, ``two_way_accounts`` and ``hinted_accounts`` decide apart.
+    Only opposite transfers need a grouping of their own.
+    """
+    dated = F.col("tx_date").isNotNull()
+    number = F.nullif(F.col("account_number"), F.lit(""))
+    no, yes = F.lit(False), F.lit(True)
+
+    def named(account, credit, debit, hint, declared):
+        return F.struct(account.alias("account"), *[F.coalesce(c, no).alias(n) for c, n in (
+            (credit, "credit"), (debit, "debit"), (hint, "hint"), (declared, "declared"))])
+
+    hint = has_internal_hint(F.col("provider_category"), F.col("third_party"))
+    said = F.transform(account_numbers(F.col("description")), lambda a: named(
+        a, dated & (F.col("cents") > 0), dated & (F.col("cents") <= 0), hint, no))
+    own = named(F.concat(F.coalesce("bsb", F.lit("")), number), no, no, no, yes)
+    rows = tx.select("customer_id", F.explode(F.concat(said, F.when(dated & number.isNotNull(), F.array(own)).otherwise(
+        F.array().cast("array<struct<account:string,credit:boolean,debit:boolean,hint:boolean,declared:boolean>>")))).alias("e"))
+    kinds = rows.groupBy("customer_id", "e.account").agg(*[F.max(F.col(f"e.{c}")).alias(c) for c in ("credit", "debit", "hint", "declared")])
+    return (kinds.filter("declared OR hint OR (credit AND debit)").select(*OWN)
+            .unionByName(paired_accounts(tx)).distinct())
 
 
 def _substrings(c: Column, least: int) -> Column:
