@@ -210,7 +210,7 @@ def file_list(spark, sf):
 def names(spark, sf):
     doc = F.concat(F.lit('{"profile": {"fullName": "P'), F.length("run_id"), F.lit('"}}'))
     docs = files.classify_files(file_list(spark, sf)).filter(F.col("artifact_type").endswith("verify-credentials"))
-    return files.personas(docs.filter(F.col("size_bytes") % 3 == 1).withColumn("value", doc))
+    return files.personas(docs.withColumn("value", F.when(F.col("size_bytes") % 3 == 1, doc)))
 
 
 FACTS = """facts AS (SELECT run_id, count(*) AS files, count(*) FILTER (e % 8 = 0) AS tx_files, count(*) FILTER (e % 8 = 1) AS account_files,

@@ -19,13 +19,13 @@ BATCH = """conf AS (SELECT *, 0.85 + (seq % 4) * 0.04 AS conf FROM pat)"""
 
 def old_new(name, step, source):
     return f"""{name} AS (SELECT pattern, arg_min(code, seq) AS category, max(conf) AS confidence,
-      '{source}' AS source, min(seq) AS first FROM conf WHERE seq % {step} = 0 AND conf >= 0.9 AND pattern <> '' GROUP BY 1)"""
+      '{source}' AS source, min(seq) AS first FROM conf WHERE CASE WHEN seq % {step} = 0 THEN conf ELSE 0.5 END >= 0.9 AND pattern <> '' GROUP BY 1)"""
 
 
 def examples(name, step):
     return f"""{name} AS (SELECT pattern, list(description ORDER BY seq) AS ex FROM (SELECT pattern, description, min(seq) AS seq,
       row_number() OVER (PARTITION BY pattern ORDER BY min(seq)) AS rn FROM conf
-      WHERE seq % {step} = 0 AND conf >= 0.9 AND pattern <> '' GROUP BY 1, 2) WHERE rn <= 5 GROUP BY 1)"""
+      WHERE CASE WHEN seq % {step} = 0 THEN conf ELSE 0.5 END >= 0.9 AND pattern <> '' GROUP BY 1, 2) WHERE rn <= 5 GROUP BY 1)"""
 
 
 DICT = [*CLEAN, BATCH, old_new("d1", 3, "first"), examples("x1", 3), old_new("d2", 5, "second"), examples("x2", 5)]
@@ -35,10 +35,11 @@ HIT = """hit AS (SELECT pat.*, coalesce(a.pattern, b.pattern) AS learned_pattern
 
 
 def batch(spark, sf, step, source):
-    return transactions(spark, sf).filter(F.col("seq") % step == 0).select(
+    """All rows; only every ``step``-th is confident enough for the dictionary."""
+    sure = (F.lit("0.85").cast("decimal(4,2)") + (F.col("seq") % 4) * F.lit("0.04").cast("decimal(4,2)")).cast("double")
+    return transactions(spark, sf).select(
         "seq", "description", F.col("code").alias("category"),
-        (F.lit("0.85").cast("decimal(4,2)") + (F.col("seq") % 4) * F.lit("0.04").cast("decimal(4,2)"))
-        .cast("double").alias("confidence"), F.lit(source).alias("source"))
+        F.when(F.col("seq") % step == 0, sure).otherwise(0.5).alias("confidence"), F.lit(source).alias("source"))
 
 
 def dictionary(spark, sf):
@@ -157,12 +158,12 @@ def lrn6(spark, sf):
 
 ANSWERS = """ans AS (SELECT form, CASE WHEN length(form) % 4 = 0 THEN NULL ELSE 'EXP-054' END AS a_code,
   CASE WHEN length(form) % 4 = 0 THEN NULL ELSE 0.9 + (length(form) % 3) * 0.03 END AS a_conf
-  FROM (SELECT DISTINCT pattern AS form FROM pat WHERE pattern <> '' AND seq % 2 = 0))"""
+  FROM (SELECT DISTINCT pattern AS form FROM pat WHERE pattern <> ''))"""
 
 
 def answers(spark, sf):
     """Reviewed answers as text: plain JSON, fenced JSON and unusable ones."""
-    forms = (transactions(spark, sf).filter(F.col("seq") % 2 == 0)
+    forms = (transactions(spark, sf)
              .groupBy(T.merchant_pattern(F.col("description")).alias("form"))
              .agg(F.min("seq").alias("seq"), F.min_by("description", "seq").alias("description"))
              .filter("form <> ''"))
@@ -227,9 +228,11 @@ HYBRID_CTES = [*TIER, *DICT, HIT, ANSWERS, f"""scored AS (SELECT sc.*, learned_c
 
 
 def hybrid(spark, sf):
-    known = dictionary(spark, sf).filter(F.length("pattern") % 2 == 0)
+    # Entries and answers under another name are there and do not match.
+    named = lambda c, n: F.when(F.length(c) % n == 0, F.col(c)).otherwise(F.concat(c, F.lit(" *")))
+    known = dictionary(spark, sf).withColumn("pattern", named("pattern", 2))
     tx = learning.lookup_patterns(scored(spark, sf), known)
-    tx = learning.attach_answers(tx, answers(spark, sf).filter(F.length("form") % 3 == 0))
+    tx = learning.attach_answers(tx, answers(spark, sf).withColumn("form", named("form", 3)))
     return cascade.categorize_hybrid(tx, mapping(spark), "is_own_transfer")
 
 

@@ -13,22 +13,22 @@ from .registry import query
 LAB = f"""lab AS (SELECT user_id AS customer_id, event_id AS seq,
   CASE WHEN event_id % 4 = 1 THEN 'AUS CARD SETTLED BY NETWORK ' ELSE '' END ||
     replace(text, '#', CAST(1000 + event_id % 9000 AS VARCHAR)) AS description,
-  CAST(sign * CAST(round(value * 100) AS BIGINT) + event_id % 3 - 1 AS BIGINT) AS cents,
+  CAST(sign * CAST(round(value * 100) AS BIGINT) + event_id % 3 - 1 + CASE WHEN event_id % 3 = 0 THEN 1000000000 ELSE 0 END AS BIGINT) AS cents,
   CAST(DATE '2024-07-01' + CAST((event_id * 37 + user_id) % 184 + event_id % 7 - 3 AS INTEGER) AS TIMESTAMP)
     + to_hours(CAST(event_id % 24 AS INTEGER)) AS ts, code
-  FROM events JOIN cat ON idx = event_id % {len(CATALOGUE)} WHERE event_id % 3 <> 0)"""
+  FROM events JOIN cat ON idx = event_id % {len(CATALOGUE)})"""
 
 
 def labelled(spark, sf):
     e = F.col("event_id")
-    ev = spread(table(spark, sf, "events"), "event_id").filter(e % 3 != 0).withColumn("idx", e % len(CATALOGUE))
+    ev = spread(table(spark, sf, "events"), "event_id").withColumn("idx", e % len(CATALOGUE))
     day = F.date_add(F.lit("2024-07-01").cast("date"),
                      ((e * 37 + F.col("user_id")) % 184 + e % 7 - 3).cast("int"))
     return ev.join(catalogue(spark), "idx").select(
         F.col("user_id").alias("customer_id"), e.alias("seq"),
         F.concat(F.when(e % 4 == 1, "AUS CARD SETTLED BY NETWORK ").otherwise(""),
                  F.replace("text", F.lit("#"), (F.lit(1000) + e % 9000).cast("string"))).alias("description"),
-        (F.col("sign") * F.round(F.col("value") * 100).cast("bigint") + e % 3 - 1).alias("cents"),
+        (F.col("sign") * F.round(F.col("value") * 100).cast("bigint") + e % 3 - 1 + F.when(e % 3 == 0, 1_000_000_000).otherwise(0)).alias("cents"),
         (day.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), (e % 24).cast("int"))).alias("ts"), "code")
 
 

@@ -236,8 +236,8 @@ def accounts(spark, sf):
     from .base import users
 
     d = "decimal(18,2)"
-    return users(spark, sf).filter("user_id % 3 = 0").select(
-        F.col("user_id").alias("customer_id"),
+    return users(spark, sf).select(
+        F.when(F.col("user_id") % 3 == 0, F.col("user_id")).otherwise(-1 - F.col("user_id")).alias("customer_id"),
         F.array((F.col("user_id") * 10 + 500).cast(d), F.lit("1000.50").cast(d)).alias("credit_card_limits"),
         F.when(F.col("user_id") % 2 == 0, F.array((F.col("user_id") + 0).cast(d))).alias("credit_card_balances"),
         (F.col("user_id") % 6 == 0).alias("has_mortgage_account"))

@@ -136,14 +136,14 @@ def prj8(spark, sf):
 
 
 @query("prj9_add_split", sql("""SELECT tx_id AS transaction_id, coalesce(split, 'unknown') AS split FROM (SELECT tx_id, 'demo' || (customer_id % 60 % 7)
-  || '/run' || (customer_id % 60) AS run_id FROM tx WHERE customer_id % 60 % 5 <> 4) LEFT JOIN (SELECT * FROM sp WHERE run_id NOT LIKE '%1') USING (run_id)""",
+  || '/run' || (customer_id % 60) AS run_id FROM tx) LEFT JOIN (SELECT * REPLACE (CASE WHEN run_id LIKE '%1' THEN run_id || 'x' ELSE run_id END AS run_id) FROM sp) USING (run_id)""",
                              API, RUNS, SPLIT))
 def prj9(spark, sf):
     from ..operators.labels import persona_splits
 
     run = F.concat(F.lit("demo"), F.col("customer_id") % 60 % 7, F.lit("/run"), F.col("customer_id") % 60)
-    rows = transactions(spark, sf).filter(F.col("customer_id") % 60 % 5 != 4).select(F.col("tx_id").alias("transaction_id"), run.alias("run_id"))
-    known = persona_splits(run_personas(spark, sf)).filter(~F.col("run_id").endswith("1"))
+    rows = transactions(spark, sf).select(F.col("tx_id").alias("transaction_id"), run.alias("run_id"))
+    known = persona_splits(run_personas(spark, sf)).withColumn("run_id", F.when(F.col("run_id").endswith("1"), F.concat("run_id", F.lit("x"))).otherwise(F.col("run_id")))
     return features.add_split(rows, known).select("transaction_id", "split")
 
 
