@@ -5,8 +5,6 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-ODD = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1) | 1) & (2**64 - 1) for i in range(64)], dtype=np.uint64)
-
 BASE = 0xD6E8FEB86659FD93
 
 
@@ -33,6 +31,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+# Independent odd multipliers: multiples of one constant would let sums of small values collide.
+ODD = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
 def rolling(h: np.ndarray, k: int) -> np.ndarray:
     """A hash of every k consecutive word hashes, from each start that has k."""
     n = len(h) - k + 1
