@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -95,10 +96,12 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     Word sequences that are equal are one class, whose least id stands for it. Classes that
     share a band key of their compressed registers meet; pairs whose corrected estimate is six
     standard errors below the threshold are let go. A band's members are not paired with each
-    other: hubs (first one, then four times as many each round) are compared with all
+    other: hubs (first one, then eight times as many each round) are compared with all
     members, then leave the band, and members already in one component are not compared
-    again. Rounds end when no band holds two components, so no link between different texts is
-    left out, and a band of m alike texts costs about m comparisons.
+    again. Hubs come from a band's smaller components first, so a large component and a few
+    others are done with when the few are. Rounds end when no band holds two components, so no
+    link between different texts is left out, and a band of m alike texts costs about m
+    comparisons.
 
     No words or null text: n_shingles 0, linked with nothing. Rows without ``doc_id`` come back
     with null ``component_id``, kept. Rows that repeat an id are one document. Other columns
@@ -122,7 +125,7 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     sets = scratch.write(sets.dropDuplicates(["doc_id"]), "sets")
 
     links, found = [], scratch.write(docs.sparkSession.createDataFrame([], "id bigint, component bigint"), "none")
-    tried = scratch.write(docs.sparkSession.createDataFrame([], "a bigint, b bigint"), "tried")
+    tried = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
     hubs_per_band = 1
     while True:
         placed = (members.join(found, "id", "left").select("band", "id", F.coalesce("component", "id").alias("component")))
@@ -131,7 +134,11 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
         if placed.isEmpty():
             break
         slot = F.pmod(F.xxhash64("id", "band"), F.lit(hubs_per_band))
-        hubs = scratch.write(placed.groupBy("band", slot.alias("slot")).agg(F.min(F.struct("id", "component")).alias("h"))
+        sized = placed.withColumn("size", F.lit(1).cast("bigint"))
+        if links:
+            sizes = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("size"))
+            sized = placed.join(sizes, ["band", "component"])
+        hubs = scratch.write(sized.groupBy("band", slot.alias("slot")).agg(F.min(F.struct("size", "id", "component")).alias("h"))
                              .select("band", F.col("h.id").alias("hub"), F.col("h.component").alias("hub_component")), "hubs")
         pairs = (placed.join(hubs, "band").filter("component <> hub_component")
                  .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
@@ -143,16 +150,14 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
             sets.select(F.col("doc_id").alias("b"), F.col("set").alias("sb")), "b")
         common = F.size(F.array_intersect("sa", "sb"))
         linked = both.filter(common * den >= (F.size("sa") + F.size("sb") - common) * num).select("a", "b")
-        links.append(scratch.write(linked, "links"))
-        new = tried.union(pairs)
-        tried = scratch.write(new, "tried")
-        edges = links[0]
-        for more in links[1:]:
-            edges = edges.union(more)
-        found = scratch.write(components(edges, scratch), "components")
+        linked = scratch.write(linked, "links")
+        tried = tried.union(pairs)
+        if not links or not linked.isEmpty():
+            links.append(linked)
+            found = scratch.write(components(reduce(DataFrame.union, links), scratch), "components")
         gone = hubs.select("band", F.col("hub").alias("id"))
         members = scratch.write(placed.select("band", "id").join(gone, ["band", "id"], "left_anti"), "members")
-        hubs_per_band *= 4
+        hubs_per_band *= 8
 
     of_class = classes.join(found, F.col("rep") == F.col("id"), "left").select("same", F.coalesce("component", "rep").alias("component"))
     out = all_.select("doc_id", F.col("n").alias("n_shingles"), "same").join(of_class, "same", "left")
