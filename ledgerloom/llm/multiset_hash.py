@@ -91,14 +91,14 @@ def likeness(a: str, b: str) -> Column:
     return F.when(same, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), cosine)))
 
 
-def successors(docs: DataFrame, scratch: Scratch, bucket_rows: int = 20_000) -> DataFrame:
-    """For every id, the next greater id (after the greatest, the least) and the greatest
-    length of its texts: rows (doc_id, next_id, n_chars). Ids are range-partitioned; the last
-    id of a range finds its successor in the list of ranges, one row each."""
-    ids = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.max(F.length(text_of("text"))).alias("n_chars"))
-    ids = scratch.write(ids, "ids")
-    parts = max(1, -(-ids.count() // bucket_rows))
-    ids = scratch.write(ids.repartitionByRange(parts, "doc_id").withColumn("part", F.spark_partition_id()), "ranges")
+def successors(docs: DataFrame, scratch: Scratch, bucket_rows: int = 20_000) -> tuple[DataFrame, bool]:
+    """For every id, the next greater id (after the greatest, the least): rows (doc_id, next_id);
+    and whether each id has one row. Ids are range-partitioned; the last id of a range finds its
+    successor in the list of ranges, one row each."""
+    ids = scratch.write(docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "ids")
+    n, most = ids.agg(F.count(F.lit(1)), F.max("rows")).first()
+    parts = max(1, -(-n // bucket_rows))
+    ids = scratch.write(ids.select("doc_id").repartitionByRange(parts, "doc_id").withColumn("part", F.spark_partition_id()), "ranges")
     firsts = ids.groupBy("part").agg(F.min("doc_id").alias("first"))
     # One row per range of about 20,000 ids.
     order = Window.orderBy("part")
@@ -106,41 +106,44 @@ def successors(docs: DataFrame, scratch: Scratch, bucket_rows: int = 20_000) ->
                            F.min("first").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("after"))
     inside = F.lead("doc_id").over(Window.partitionBy("part").orderBy("doc_id"))
     return (ids.withColumn("inside", inside).join(firsts, F.col("part") == F.col("p"))
-            .select("doc_id", F.coalesce("inside", "after").alias("next_id"), "n_chars"))
+            .select("doc_id", F.coalesce("inside", "after").alias("next_id"))), (most or 1) == 1
 
 
-def edited(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Rows (doc_id, next_id, text, edited): the last quarter of each text replaced by the first
-    as many characters of the next document's (its least text, if it has several; all of it, if
-    shorter). Rows without ``doc_id`` have no successor: they lose the quarter."""
-    nexts = scratch.write(successors(docs, scratch), "next")
+def with_next(docs: DataFrame) -> DataFrame:
+    """Rows (doc_id, text, next_text): each document beside the next one's text (its least text,
+    if an id has several rows). Texts are shuffled once by id and once to their predecessors.
+    Rows without ``doc_id`` have no successor: null."""
+    scratch = Scratch(docs.sparkSession)
+    nexts, single = successors(docs, scratch)
+    nexts = scratch.write(nexts, "next")
     plain = docs.select("doc_id", text_of("text").alias("text"))
-    quarter = F.floor(F.col("n_chars") / 4).cast("int")
-    needed = nexts.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("for_id"), quarter.alias("most"))
-    heads = (plain.join(needed, "doc_id").select("for_id", F.col("text").substr(F.lit(1), F.col("most")).alias("head"))
-             .groupBy("for_id").agg(F.min("head").alias("head")))
-    k = F.floor(F.length("text") / 4).cast("int")
-    kept = F.col("text").substr(F.lit(1), F.length("text") - k)
-    out = plain.join(nexts.select("doc_id", "next_id"), "doc_id", "left").join(heads, F.col("doc_id") == F.col("for_id"), "left")
-    return out.select("doc_id", "next_id", "text", F.concat(kept, F.coalesce(F.col("head").substr(F.lit(1), k), F.lit(""))).alias("edited"))
+    # One exchange, read by both joins below.
+    keyed = plain.filter("doc_id is not null").repartition(F.col("doc_id"))
+    sent = keyed.join(nexts.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("for_id")), "doc_id").select("for_id", F.col("text").alias("next_text"))
+    if not single:
+        sent = sent.groupBy("for_id").agg(F.min("next_text").alias("next_text"))
+    out = keyed.join(sent, F.col("doc_id") == F.col("for_id"), "left").select("doc_id", "text", "next_text")
+    # Without a union the rows stay dealt by id, and what follows groups them where they are.
+    nameless = plain.filter("doc_id is null")
+    return out if nameless.isEmpty() else out.union(nameless.select("doc_id", "text", F.lit(None).cast("string")))
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
-    """Every document's fingerprint, that of its edited text, and their likeness, and the
-    likeness to the next document's: rows (doc_id, n_chars, edited_sha256, own, other, near_edited,
-    near_next). ``near_next`` is null without ``doc_id``; rows that repeat an id are
-    fingerprinted each, and the first of them stands for the id as a successor."""
-    scratch = Scratch(docs.sparkSession)
-    both = edited(docs, scratch).withColumn("row", F.monotonically_increasing_id())
-    both = both.select("doc_id", "next_id", "row", F.length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("sha"),
-                       F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("v"))
-    prints = fingerprints(both.select("doc_id", "next_id", "row", "n_chars", "sha", "v.which", "v.text"),
-                          ["doc_id", "next_id", "row", "n_chars", "sha", "which"])
-    f = F.struct("pieces", "wide", "narrow")
-    pair = (prints.groupBy("doc_id", "next_id", "row", "n_chars", "sha")
-            .agg(F.max(F.when(F.col("which") == 0, f)).alias("own"), F.max(F.when(F.col("which") == 1, f)).alias("other")))
-    pair = scratch.write(pair, "prints")
-    heads = pair.filter("doc_id is not null").groupBy("doc_id").agg(F.min("own").alias("after")).select(F.col("doc_id").alias("id"), "after")
-    out = pair.join(heads, F.col("next_id") == F.col("id"), "left")
+    """Every document's fingerprint, that of its edited text, and their likeness, and the likeness
+    to the next document's: rows (doc_id, n_chars, edited_sha256, own, other, near_edited,
+    near_next). In the edited text the last quarter is replaced by the first as many characters
+    of the next document (all of it, if shorter). Rows without ``doc_id`` lose the quarter and
+    have no ``near_next``. Rows that repeat an id are fingerprinted each."""
+    rows = with_next(docs).withColumn("row", F.monotonically_increasing_id())
+    k = F.floor(F.length("text") / 4).cast("int")
+    edited = F.concat(F.col("text").substr(F.lit(1), F.length("text") - k), F.coalesce(F.col("next_text").substr(F.lit(1), k), F.lit("")))
+    version = lambda i, t: F.struct(F.lit(i).alias("which"), t.alias("text"))
+    rows = rows.select("doc_id", "row", F.length("text").cast("bigint").alias("n_chars"), "next_text", "text", edited.alias("edited"))
+    rows = rows.select("doc_id", "row", "n_chars", F.col("next_text").isNotNull().alias("followed"), F.sha2("edited", 256).alias("sha"),
+                       F.explode(F.array(version(0, F.col("text")), version(1, F.col("edited")), version(2, F.col("next_text")))).alias("v"))
+    keys = ["doc_id", "row", "n_chars", "followed", "sha"]
+    prints = fingerprints(rows.select(*keys, "v.which", "v.text"), [*keys, "which"])
+    pick = lambda i: F.max(F.when(F.col("which") == i, F.struct("pieces", "wide", "narrow")))
+    out = prints.groupBy(*keys).agg(pick(0).alias("own"), pick(1).alias("other"), pick(2).alias("after"))
     return out.select("doc_id", "n_chars", F.col("sha").alias("edited_sha256"), "own", "other",
-                      likeness("own", "other").alias("near_edited"), F.when(F.col("after").isNotNull(), likeness("own", "after")).alias("near_next"))
+                      likeness("own", "other").alias("near_edited"), F.when(F.col("followed"), likeness("own", "after")).alias("near_next"))
