@@ -98,10 +98,14 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     standard errors below the threshold are let go. A band's members are not paired with each
     other: hubs (first one, then eight times as many each round) are compared with all
     members, then leave the band, and members already in one component are not compared
-    again. Hubs come from a band's smaller components first, so a large component and a few
-    others are done with when the few are. Rounds end when no band holds two components, so no
-    link between different texts is left out, and a band of m alike texts costs about m
-    comparisons.
+    again. Hubs come from a band's smaller components first, and among these from the texts with
+    the fewest shingles of their own. Rounds end when no band holds two components, so no link
+    between different texts is left out, and a band of m alike texts costs about m comparisons.
+
+    A shingle that only one of the candidate texts has is in no intersection. So two texts of n
+    and m shingles with u and v own ones share at most min(n - u, m - v); pairs that cannot reach
+    the threshold so are not formed, whatever bands they share. This keeps a large group of
+    texts that are each too far from the others from being compared pair by pair.
 
     No words or null text: n_shingles 0, linked with nothing. Rows without ``doc_id`` come back
     with null ``component_id``, kept. Rows that repeat an id are one document. Other columns
@@ -117,18 +121,23 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     banded = scratch.write(banded, "banded")
     keys = banded.select(F.explode("bands").alias("band"), F.col("doc_id").alias("id"))
     shared = keys.groupBy("band").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("band")
-    members = scratch.write(keys.join(shared, "band"), "members")
+    members = scratch.write(keys.join(shared, "band"), "bands")
     ids = members.select("id").distinct()
     known = scratch.write(banded.join(ids, F.col("doc_id") == F.col("id"), "left_semi").select("doc_id", "n", "regs"), "registers")
     scratch.drop(banded)
     sets = map_texts(texts.join(ids, F.col("doc_id") == F.col("id"), "left_semi"), _sets, "set array<bigint>", ["doc_id"])
     sets = scratch.write(sets.dropDuplicates(["doc_id"]), "sets")
+    alone = (sets.select("doc_id", F.explode("set").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("id"))
+             .filter("c = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own")))
+    share = sets.select(F.col("doc_id").alias("id"), F.size("set").alias("n")).join(alone, "id", "left").select(
+        "id", "n", F.coalesce("own", F.lit(0)).alias("own")).filter((F.col("n") - F.col("own")) * den >= F.col("n") * num)
+    members = scratch.write(members.join(share, "id"), "members")
 
     links, found = [], scratch.write(docs.sparkSession.createDataFrame([], "id bigint, component bigint"), "none")
     tried = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
     hubs_per_band = 1
     while True:
-        placed = (members.join(found, "id", "left").select("band", "id", F.coalesce("component", "id").alias("component")))
+        placed = members.join(found, "id", "left").select("band", "id", "n", "own", F.coalesce("component", "id").alias("component"))
         mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("band")
         placed = scratch.write(placed.join(mixed, "band"), "placed")
         if placed.isEmpty():
@@ -138,9 +147,12 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
         if links:
             sizes = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("size"))
             sized = placed.join(sizes, ["band", "component"])
-        hubs = scratch.write(sized.groupBy("band", slot.alias("slot")).agg(F.min(F.struct("size", "id", "component")).alias("h"))
-                             .select("band", F.col("h.id").alias("hub"), F.col("h.component").alias("hub_component")), "hubs")
-        pairs = (placed.join(hubs, "band").filter("component <> hub_component")
+        hubs = scratch.write(sized.groupBy("band", slot.alias("slot")).agg(F.min(F.struct("size", "own", "id", "n", "component")).alias("h"))
+                             .select("band", F.col("h.id").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.own").alias("hub_own"),
+                                     F.col("h.component").alias("hub_component")), "hubs")
+        most = F.least(F.col("n") - F.col("own"), F.col("hub_n") - F.col("hub_own"))
+        reach = most * den >= (F.col("n") + F.col("hub_n") - most) * num
+        pairs = (placed.join(hubs, "band").filter(reach & (F.col("component") != F.col("hub_component")))
                  .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
         pairs = scratch.write(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         side = lambda s: known.select(F.col("doc_id").alias(s), F.col("n").alias(f"n{s}"), F.col("regs").alias(f"r{s}"))
@@ -156,7 +168,7 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
             links.append(linked)
             found = scratch.write(components(reduce(DataFrame.union, links), scratch), "components")
         gone = hubs.select("band", F.col("hub").alias("id"))
-        members = scratch.write(placed.select("band", "id").join(gone, ["band", "id"], "left_anti"), "members")
+        members = scratch.write(placed.select("band", "id", "n", "own").join(gone, ["band", "id"], "left_anti"), "members")
         hubs_per_band *= 8
 
     of_class = classes.join(found, F.col("rep") == F.col("id"), "left").select("same", F.coalesce("component", "rep").alias("component"))
