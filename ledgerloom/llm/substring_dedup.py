@@ -94,7 +94,8 @@ def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     grow = scratch.write(grow, "shared")
     scratch.drop(placed)
 
-    windows = texts.join(grow, "doc_id").mapInPandas(_extended(length), "anchor bigint, grown bigint, doc_id bigint, at int")
+    # The same plan at every size: texts are sorted by id, not sent to a broadcast of the seeds.
+    windows = texts.hint("merge").join(grow, "doc_id").mapInPandas(_extended(length), "anchor bigint, grown bigint, doc_id bigint, at int")
     windows = scratch.write(windows, "windows")
     least = windows.groupBy("anchor", "grown").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").drop("hi")
     later = windows.join(least, ["anchor", "grown"]).filter("doc_id > lo")
@@ -129,7 +130,7 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     """Every row's ``doc_id``, ``n_words``, ``n_removed`` and ``kept_text``: the words outside
     ``repeats``, joined by one space (empty for null text)."""
     found = repeats(docs, length)
-    rows = docs.select(F.col("doc_id").cast("bigint"), "text").join(found, "doc_id", "left")
+    rows = docs.select(F.col("doc_id").cast("bigint"), "text").hint("merge").join(found, "doc_id", "left")
     return rows.mapInArrow(_without, "doc_id bigint, n_words bigint, n_removed bigint, kept_text string")
 
 
@@ -139,7 +140,7 @@ def cut_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     which no word is left are dropped."""
     names = docs.columns
     found = repeats(docs, length).select(F.col("doc_id").alias("_id"), "repeats")
-    rows = docs.join(found, F.col("doc_id") == F.col("_id"), "left")
+    rows = docs.hint("merge").join(found, F.col("doc_id") == F.col("_id"), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
