@@ -104,10 +104,14 @@ def fit_nnpu(p: np.ndarray, u: np.ndarray, prior: float, params: Params = Params
     return w, float(b)
 
 
-def _bounded(df: DataFrame, most: int) -> DataFrame:
-    """About ``most`` rows at most, picked by a hash of the id."""
-    n = df.count()
-    return df if n <= most else df.filter(F.pmod(F.xxhash64(F.lit(41), "doc_id"), F.lit(1_000_000)) < int(1_000_000 * most / n))
+def _bounded(ids: DataFrame, most: int, scratch: Scratch) -> DataFrame:
+    """About ``most`` distinct ids at most, picked by a hash, fit for a broadcast: their number is
+    counted again after the pick."""
+    n = ids.count()
+    if n > most:
+        ids = ids.filter(F.pmod(F.xxhash64(F.lit(41), "doc_id"), F.lit(1_000_000)) < int(1_000_000 * most / n))
+    ids = scratch.write(ids.distinct(), "picked")
+    return F.broadcast(ids) if ids.count() <= 2 * most else ids
 
 
 @dataclass(frozen=True)
@@ -120,10 +124,10 @@ class Model:
 def train(docs: DataFrame, labels: DataFrame, may_learn: Column, params: Params = Params()) -> Model:
     """A model from the documents whose row satisfies ``may_learn`` (an expression of ``doc_id``).
 
-    Confirmed examples are those labelled toxic; all unlabelled documents are counted, and the
-    class prior is the labels' share of toxic rows. Words enter by how much more of the examples
-    than of the unlabelled texts they occur in, in standard errors; those counts cover all
-    documents. The driver gets counts of at most ``candidates`` words and the feature rows of the
+    Confirmed examples are those labelled toxic (a bounded pick of them), and the class prior is
+    the labels' share of toxic rows. Words enter by how much more of the examples than of the
+    other texts they occur in, in standard errors; the counts of the others cover all documents.
+    Only the bounded picks meet the texts in a join, as a broadcast of ids. The driver gets counts of at most ``candidates`` words and the feature rows of the
     bounded fit. Without examples or unlabelled texts the model is the prior alone.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
@@ -132,8 +136,9 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, params: Params
     toxic, rows = known.agg(F.sum("toxic"), F.count(F.lit(1))).first()
     prior = min(0.9, max(0.001, toxic / rows)) if toxic else params.prior
     texts = docs.filter(may_learn).select("doc_id", text_of("text").alias("text"))
-    p = scratch.write(texts.join(known.filter("toxic = 1").select("doc_id"), "doc_id", "left_semi"), "examples")
-    # Unlabelled are ids without a label; the join is on ids only until the bounded fit.
+    picked = _bounded(known.filter("toxic = 1").select("doc_id"), params.positives, scratch)
+    p = scratch.write(texts.join(picked, "doc_id", "left_semi"), "examples")
+    # Unlabelled are ids without a label.
     ids = scratch.write(texts.select("doc_id").join(known.select("doc_id"), "doc_id", "left_anti"), "unlabelled")
     n_p, n_u = p.count(), ids.count()
     blank = Model(np.empty(0, np.uint64), np.empty(0), float(np.log(prior / (1 - prior))))
@@ -160,8 +165,8 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, params: Params
         return blank
     terms = terms[chosen]
 
-    sample_p = _bounded(p, params.positives).select("text", F.lit(True).alias("positive"))
-    sample_u = texts.join(_bounded(ids, params.unlabelled), "doc_id", "left_semi").select("text", F.lit(False).alias("positive"))
+    sample_p = p.select("text", F.lit(True).alias("positive"))
+    sample_u = texts.join(_bounded(ids, params.unlabelled, scratch), "doc_id", "left_semi").select("text", F.lit(False).alias("positive"))
     got = sample_p.union(sample_u).mapInPandas(_rows(terms), "positive boolean, at array<int>").toPandas()
     x = np.zeros((len(got), len(terms)))
     for i, at in enumerate(got["at"]):
