@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..operators import cascade, learning
+from ..operators import cascade, learning, series
 from ..operators.rules import RuleBook
 from ..sources.tables import read_patterns, write_patterns
 
@@ -23,6 +24,21 @@ def categorise_stream(stream: DataFrame, rules: RuleBook | None = None, mapping:
     return cascade.categorize(stream, rules, None, mapping)
 
 
+def daily_totals_stream(stream: DataFrame, late: str = "40 days") -> DataFrame:
+    """STX2: total per customer and day, final once the newest row is ``late`` past that day; rows
+    that come later than that are left out. In append mode each day leaves once, so the state
+    holds only open days. ``monthly_totals`` of what was written gives AGG1."""
+    timed = (stream.filter(F.col("tx_date").isNotNull()).withColumn("at", F.timestamp_seconds(F.unix_date("tx_date").cast("bigint") * 86_400))
+             .withWatermark("at", late))
+    days = timed.groupBy("customer_id", F.window("at", "1 day").alias("day")).agg(F.sum("cents").alias("total"))
+    return days.select("customer_id", F.date_from_unix_date(F.floor(F.unix_seconds("day.start") / 86_400).cast("int")).alias("tx_date"), "total")
+
+
+def monthly_totals(daily: DataFrame) -> DataFrame:
+    """STX2/AGG1: monthly totals of the days that are final."""
+    return series.monthly_totals(daily, cents="total")
+
+
 def learn_stream(reviewed: DataFrame, folder: str, checkpoint: str) -> DataStreamWriter:
     """LRN2 per micro-batch: reviewed(seq, description, category, confidence, source) grows the
     dictionary; each batch writes the next snapshot."""

@@ -1,6 +1,4 @@
-"""Registered queries against their SQL. ALL_QUERIES=1 runs every one."""
-
-import os
+"""Every registered query against its SQL."""
 
 import pytest
 
@@ -8,11 +6,7 @@ from ledgerloom.queries import ORACLES, QUERIES
 from tools.compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
-CORE = ["flt1_reporting_window", "win1_stability_run", "met_expense", "met_flags", "met0_all", "cls1_rule_match", "cls8_cascade",
-        "cls5_context_rules", "str1_merchant_pattern", "str8_payment_prefix", "trf3_flag_transfers", "jn3_fuzzy_range", "agg10_category_mapping",
-        "lrn2_upsert", "win6_learning_curve", "dst2_label_cascade", "agg14_coverage", "spl2_persona_split", "agg20_persona_summary",
-        "evl1_label_scores", "src2_statement_json", "src10_report_records", "dq6_shadowed_keywords"]
-NAMES = sorted(ORACLES) if os.environ.get("ALL_QUERIES") else CORE
+NAMES = sorted(ORACLES)
 # Small data leave these without rows.
 MAY_BE_EMPTY = {"agg6_income_sources"}
 

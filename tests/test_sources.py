@@ -89,3 +89,24 @@ def test_written_and_stream(spark, tmp_path):
     w.processAllAvailable()
     w.stop()
     assert [r.pattern for r in tables.read_patterns(spark, str(tmp_path / "dict")).collect()] == ["kfc"]
+
+
+def test_monthly_totals_of_a_stream_with_late_rows(spark, tmp_path):
+    import datetime as dt
+
+    def rows(*items):
+        return spark.createDataFrame([(str(i), 1, dt.date.fromisoformat(d), "x", c, None, None) for i, (d, c) in enumerate(items)], streams.TX_SCHEMA)
+
+    root = str(tmp_path / "in")
+    rows(("2024-01-05", 1), ("2024-01-05", 2), ("2024-02-01", 4)).write.parquet(root)
+    daily = streams.daily_totals_stream(streams.statement_stream(spark, root, max_files=1), "10 days")
+    q = daily.writeStream.format("memory").queryName("days").outputMode("append").start()
+    q.processAllAvailable()
+    # In time: after the last row less ten days. Too late: January. A row of May closes all before.
+    rows(("2024-01-25", 8), ("2024-01-05", 16), ("2024-05-01", 32)).coalesce(1).write.mode("append").parquet(root)
+    q.processAllAvailable()
+    rows(("2024-02-02", 64)).write.mode("append").parquet(root)
+    q.processAllAvailable()
+    q.stop()
+    got = {r.month: r.total for r in streams.monthly_totals(spark.sql("select * from days")).collect()}
+    assert got == {"2024-01": 11, "2024-02": 4}
