@@ -34,6 +34,7 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
         self.n = 0
+        self.tables: list[DataFrame] = []
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         self.n += 1
@@ -41,13 +42,21 @@ class Scratch:
         df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch = path
+        self.tables.append(out)
         return out
 
+    def keep_only(self, *tables: DataFrame) -> None:
+        """Delete all tables but those that the result still reads."""
+        kept = {t._scratch for t in tables}
+        self.drop(*[t for t in self.tables if t._scratch not in kept])
+
     def drop(self, *tables: DataFrame) -> None:
         """Delete tables that no later plan reads."""
         for t in tables:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(t._scratch)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        gone = {t._scratch for t in tables}
+        self.tables = [t for t in self.tables if t._scratch not in gone]
 
 
 def map_texts(df: DataFrame, fn: Callable[[list[str | None]], dict], fields: str, keep: list[str]) -> DataFrame:

@@ -97,9 +97,9 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     share a band key of their compressed registers meet; pairs whose corrected estimate is six
     standard errors below the threshold are let go. A band's members are not paired with each
     other: hubs (first one, then eight times as many each round) are compared with all
-    members, then leave the band, and members already in one component are not compared
-    again. Hubs come from a band's smaller components first, and among these from the texts with
-    the fewest shingles of their own. Rounds end when no band holds two components, so no link
+    members, then leave the band; members already in one component are not compared, and a
+    pair meets in the first band that both have, once. Hubs come from a band's smaller components first, and among these from the texts with
+    the most shingles that others have as well. Rounds end when no band holds two components, so no link
     between different texts is left out, and a band of m alike texts costs about m comparisons.
 
     A shingle that only one of the candidate texts has is in no intersection. So two texts of n
@@ -123,7 +123,7 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     shared = keys.groupBy("band").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("band")
     members = scratch.write(keys.join(shared, "band"), "bands")
     ids = members.select("id").distinct()
-    known = scratch.write(banded.join(ids, F.col("doc_id") == F.col("id"), "left_semi").select("doc_id", "n", "regs"), "registers")
+    known = scratch.write(banded.join(ids, F.col("doc_id") == F.col("id"), "left_semi").select("doc_id", "n", "regs", "bands"), "registers")
     scratch.drop(banded)
     sets = map_texts(texts.join(ids, F.col("doc_id") == F.col("id"), "left_semi"), _sets, "set array<bigint>", ["doc_id"])
     sets = scratch.write(sets.dropDuplicates(["doc_id"]), "sets")
@@ -131,13 +131,13 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
              .filter("c = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own")))
     share = sets.select(F.col("doc_id").alias("id"), F.size("set").alias("n")).join(alone, "id", "left").select(
         "id", "n", F.coalesce("own", F.lit(0)).alias("own")).filter((F.col("n") - F.col("own")) * den >= F.col("n") * num)
-    members = scratch.write(members.join(share, "id"), "members")
+    keyed = known.select(F.col("doc_id").alias("id"), "bands")
+    members = scratch.write(members.join(share, "id").join(keyed, "id"), "members")
 
     links, found = [], scratch.write(docs.sparkSession.createDataFrame([], "id bigint, component bigint"), "none")
-    tried = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
     hubs_per_band = 1
     while True:
-        placed = members.join(found, "id", "left").select("band", "id", "n", "own", F.coalesce("component", "id").alias("component"))
+        placed = members.join(found, "id", "left").select("band", "id", "n", "own", "bands", F.coalesce("component", "id").alias("component"))
         mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("band")
         placed = scratch.write(placed.join(mixed, "band"), "placed")
         if placed.isEmpty():
@@ -147,14 +147,17 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
         if links:
             sizes = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("size"))
             sized = placed.join(sizes, ["band", "component"])
-        hubs = scratch.write(sized.groupBy("band", slot.alias("slot")).agg(F.min(F.struct("size", "own", "id", "n", "component")).alias("h"))
+        hubs = scratch.write(sized.groupBy("band", slot.alias("slot")).agg(F.min(F.struct("size", (F.col("own") - F.col("n")).alias("rank"), "id", "n", "own", "component")).alias("h"))
                              .select("band", F.col("h.id").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.own").alias("hub_own"),
-                                     F.col("h.component").alias("hub_component")), "hubs")
+                                     F.col("h.component").alias("hub_component"))
+                             .join(keyed.select(F.col("id").alias("hub"), F.col("bands").alias("hub_bands")), "hub"), "hubs")
         most = F.least(F.col("n") - F.col("own"), F.col("hub_n") - F.col("hub_own"))
         reach = most * den >= (F.col("n") + F.col("hub_n") - most) * num
-        pairs = (placed.join(hubs, "band").filter(reach & (F.col("component") != F.col("hub_component")))
+        # A pair belongs to the first band that both have: there it meets, whatever else they share.
+        own_band = F.get(F.array_intersect("bands", "hub_bands"), F.lit(0)) == F.col("band")
+        pairs = (placed.join(hubs, "band").filter((F.col("component") != F.col("hub_component")) & reach & own_band)
                  .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
-        pairs = scratch.write(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        pairs = scratch.write(pairs, "pairs")
         side = lambda s: known.select(F.col("doc_id").alias(s), F.col("n").alias(f"n{s}"), F.col("regs").alias(f"r{s}"))
         near = pairs.join(side("a"), "a").join(side("b"), "b").filter(F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
         near = near.mapInPandas(_ruled_in(num / den), "a bigint, b bigint")
@@ -163,14 +166,14 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
         common = F.size(F.array_intersect("sa", "sb"))
         linked = both.filter(common * den >= (F.size("sa") + F.size("sb") - common) * num).select("a", "b")
         linked = scratch.write(linked, "links")
-        tried = tried.union(pairs)
         if not links or not linked.isEmpty():
             links.append(linked)
             found = scratch.write(components(reduce(DataFrame.union, links), scratch), "components")
         gone = hubs.select("band", F.col("hub").alias("id"))
-        members = scratch.write(placed.select("band", "id", "n", "own").join(gone, ["band", "id"], "left_anti"), "members")
+        members = scratch.write(placed.select("band", "id", "n", "own", "bands").join(gone, ["band", "id"], "left_anti"), "members")
         hubs_per_band *= 8
 
+    scratch.keep_only(all_, classes, found)
     of_class = classes.join(found, F.col("rep") == F.col("id"), "left").select("same", F.coalesce("component", "rep").alias("component"))
     out = all_.select("doc_id", F.col("n").alias("n_shingles"), "same").join(of_class, "same", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))

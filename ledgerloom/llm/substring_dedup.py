@@ -104,7 +104,9 @@ def repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     partly = starts.mapInPandas(_runs(length), f"doc_id bigint, repeats {span}")
     copies = (seeds.join(classes.filter("rep < greatest"), "same").filter("doc_id > rep")
               .select("doc_id", F.array(F.struct(F.lit(0).alias("start"), F.col("n").cast("int").alias("end"))).cast(span).alias("repeats")).distinct())
-    return scratch.write(partly.union(copies), "repeats")
+    out = scratch.write(partly.union(copies), "repeats")
+    scratch.keep_only(out)
+    return out
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -175,6 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, params: Params
     if positive.all() or not positive.any():
         return blank
     w, b = fit_nnpu(x[positive], x[~positive], prior, params)
+    scratch.keep_only()
     return Model(terms, w, b)
 
 
