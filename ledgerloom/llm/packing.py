@@ -105,7 +105,7 @@ def _best_pair(count: np.ndarray, room: int) -> list[int] | None:
     return [int(have[i]), int(other[i])] if total[i] else None
 
 
-def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end: int = 0, bucket_pieces: int = 8192) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end: int = 0, bucket_pieces: int = 4096) -> DataFrame:
     """Pieces of all documents with their place: doc_id, piece, start, length, ids, sequence_id,
     offset. Sequences hold at most ``length`` tokens, without gaps.
 
