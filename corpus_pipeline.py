@@ -10,6 +10,7 @@ from ledgerloom.llm import mixing, near_dup, packing, substring_dedup, toxicity
 from ledgerloom.llm.common import Scratch
 
 TOXIC = 0.3
+NEAR = 80, 100   # least similarity of near duplicates, as a fraction
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -21,9 +22,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, of each near-duplicate group. Rows that repeat an id
-    leave one row; rows without an id stay."""
-    kept = near_dup.link(docs).filter("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id")).distinct()
+    """One document, that of the least id, of each group of near duplicates (similarity 0.8 or
+    more of their five-word shingles). Rows that repeat an id leave one row; rows without an id stay."""
+    kept = near_dup.link(docs, *NEAR).filter("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id")).distinct()
     rest = docs.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi").dropDuplicates(["doc_id"])
     return rest.unionByName(docs.filter("doc_id is null"))
 

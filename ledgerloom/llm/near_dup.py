@@ -16,10 +16,23 @@ from .common import Scratch, components, map_texts
 SHINGLE = 5
 BUCKETS = 256           # registers, picked by the top 8 bits of a shingle's hash
 MANTISSA = 10           # bits kept after the leading one; 6 more hold the count of zeros
-BANDS, ROWS = 36, 7     # a pair at similarity 0.85 shares no band with probability 9e-7
+MISS = 1e-5             # bound on the probability that a pair at the threshold shares no band
 MARGIN = 6.0            # standard errors below the threshold at which an estimate rules a pair out
 EMPTY = np.uint64(2**64 - 1)
 
+
+def banding(least: float) -> tuple[int, int]:
+    """Bands and registers in each: the longest bands of which a pair at similarity ``least``
+    shares none with probability ``MISS`` at most: 36 of 7 (9e-7) at 0.85, 42 of 6 (3e-6) at 0.8.
+    Where no length holds that bound, below about 0.044, each register is a band."""
+    for rows in range(16, 1, -1):
+        if (1 - least**rows) ** (BUCKETS // rows) <= MISS:
+            return BUCKETS // rows, rows
+    return BUCKETS, 1
+
+
+BANDS, ROWS = banding(0.85)
+
 _rank = np.random.default_rng(2024).permuted(np.tile(np.arange(BUCKETS, dtype=np.uint16), (BUCKETS, 1)), axis=1)
 _starts = np.arange(BUCKETS, dtype=np.uint64) << np.uint64(56)
 
@@ -44,10 +57,10 @@ def registers(u: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(regs: np.ndarray) -> np.ndarray:
-    rows = regs[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64) + np.uint64(1)
+def band_keys(regs: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+    cut = regs[: bands * rows].reshape(bands, rows).astype(np.uint64) + np.uint64(1)
     with np.errstate(over="ignore"):
-        return tokens.mix((rows * tokens.ODD[:ROWS]).sum(axis=1) + np.arange(BANDS, dtype=np.uint64) * tokens.ODD[50])
+        return tokens.mix((cut * tokens.ODD[:rows]).sum(axis=1) + np.arange(bands, dtype=np.uint64) * tokens.ODD[50])
 
 
 def estimate(equal: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -59,17 +72,20 @@ def estimate(equal: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return np.clip((equal - chance) / (BUCKETS - chance), 0, 1)
 
 
-def _sketches(texts: list) -> dict:
-    out = {"n": [], "same": [], "regs": [], "bands": []}
-    for text in texts:
-        w = tokens.split(text, lower=True)
-        u = tokens.shingles(tokens.hashes(w), SHINGLE)
-        regs = registers(u) if len(u) else None
-        out["n"].append(len(u))
-        out["same"].append(tokens.identity(w) if len(u) else None)
-        out["regs"].append(regs.tobytes() if len(u) else None)
-        out["bands"].append(band_keys(regs).view(np.int64) if len(u) else None)
-    return out
+def _sketches(bands: int, rows: int):
+    def run(texts: list) -> dict:
+        out = {"n": [], "same": [], "regs": [], "bands": []}
+        for text in texts:
+            w = tokens.split(text, lower=True)
+            u = tokens.shingles(tokens.hashes(w), SHINGLE)
+            regs = registers(u) if len(u) else None
+            out["n"].append(len(u))
+            out["same"].append(tokens.identity(w) if len(u) else None)
+            out["regs"].append(regs.tobytes() if len(u) else None)
+            out["bands"].append(band_keys(regs, bands, rows).view(np.int64) if len(u) else None)
+        return out
+
+    return run
 
 
 def _sets(texts: list) -> dict:
@@ -94,7 +110,7 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     the full sets. ``component_id`` is the least id reachable, ``kept`` marks it.
 
     Word sequences that are equal are one class, whose least id stands for it. Classes that
-    share a band key of their compressed registers meet; pairs whose corrected estimate is six
+    share a band key of their compressed registers meet (``banding`` fits the bands to the threshold); pairs whose corrected estimate is six
     standard errors below the threshold are let go. A band's members are not paired with each
     other: hubs (first one, then eight times as many each round) are compared with all
     members, then leave the band; members already in one component are not compared, and a
@@ -113,7 +129,7 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint"), "text")
-    all_ = scratch.write(map_texts(texts, _sketches, "n bigint, same binary, regs binary, bands array<bigint>", ["doc_id"]), "sketches")
+    all_ = scratch.write(map_texts(texts, _sketches(*banding(num / den)), "n bigint, same binary, regs binary, bands array<bigint>", ["doc_id"]), "sketches")
     classes = scratch.write(all_.filter("doc_id is not null and n > 0").groupBy("same").agg(F.min("doc_id").alias("rep")), "classes")
 
     heads = classes.select(F.col("rep").alias("doc_id"), "same")
