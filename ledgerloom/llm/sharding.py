@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import Scratch
+
 # A broadcast of bucket offsets holds at most this many rows of 24 bytes.
 BROADCAST_BUCKETS = 100_000
 
@@ -13,33 +15,48 @@ def shuffle_into_shards(docs: DataFrame, shards: int = 16, seed: int = 17, bucke
                         bucket_bytes: int = 8 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A random permutation of all rows, dealt round robin into ``shards``.
 
-    Pass one scatters the records by a seeded hash of their id into as many buckets as it
+    Pass one scatters the records by a seeded hash of id and text into as many buckets as it
     takes for a bucket to hold about ``bucket_rows`` rows and ``bucket_bytes`` bytes of text.
     Pass two shuffles each bucket (Spark's array ``shuffle`` is Fisher-Yates). Buckets follow
     one another, so a row's rank is its bucket's offset plus its place there; shard and slot
     are the remainder and quotient of rank by ``shards``: counts differ by one at most.
 
     Returns the given columns as struct ``record`` with ``shard`` (int) and ``slot`` (long,
-    gapless from 0). Null ids and texts are rows like others. The hash takes id and text, so
-    rows that repeat an id spread as far as their texts differ; fully equal rows are
+    gapless from 0). Null ids and texts are rows like others. Rows that repeat an id spread
+    over the buckets by their texts. Fully equal rows that would fill a quarter of a bucket are
+    spread by a number besides, written once so that counts and rows agree; they are
     interchangeable. An empty table gives no rows. Reruns on the same data agree: a bucket is
-    put in the order of a second hash before it is shuffled with the seed.
+    put in the order of a second hash before it is shuffled with the seed (with numbered rows,
+    as long as the input is split alike).
     """
     size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("bigint")
-    rows, total = docs.select(size.alias("n")).agg(F.count(F.lit(1)), F.sum("n")).first()
-    buckets = max(1, -(-rows // bucket_rows), -(-(total or 0) // bucket_bytes))
-    key = F.coalesce(F.col(id_col), F.xxhash64(F.lit(seed), text_col))
-    bucket = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(buckets)).cast("int")
-    order = F.xxhash64(F.lit(seed + 1), F.col(id_col), F.col(text_col))
+    n_rows, total = docs.select(size.alias("n")).agg(F.count(F.lit(1)), F.sum("n")).first()
+    buckets = max(1, -(-n_rows // bucket_rows), -(-(total or 0) // bucket_bytes))
+    rows = docs.select(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("key"), size.alias("size"),
+                       F.xxhash64(F.lit(seed + 1), F.col(id_col), F.col(text_col)).alias("order"), F.struct(*docs.columns).alias("record"))
+    bucket = lambda *salt: F.pmod(F.xxhash64(F.lit(seed), "key", *salt), F.lit(buckets)).cast("int").alias("bucket")
+    # At most eight keys a bucket, or four for each of the two bounds.
+    repeats = (rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
+               .filter((F.col("n") > 1) & ((F.col("n") * 4 > bucket_rows) | (F.col("n") * F.col("size") * 4 > bucket_bytes))))
+    scratch = Scratch(docs.sparkSession)
+    repeats = scratch.write(repeats.select(F.col("key").alias("repeated")), "repeats")
+    if repeats.isEmpty():
+        rows = rows.select(bucket(), "order", "record")
+    else:
+        hot = F.broadcast(repeats) if buckets <= BROADCAST_BUCKETS else repeats
+        rows = rows.withColumn("number", F.monotonically_increasing_id()).join(hot, F.col("key") == F.col("repeated"), "left")
+        salt = F.when(F.col("repeated").isNotNull(), F.col("number"))
+        rows = scratch.write(rows.select(bucket(salt), "order", "record"), "numbered")
+    scratch.drop(repeats)
 
-    counts = docs.select(bucket.alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     # One row per bucket: a millionth of the records and less, also in the largest corpus.
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     if buckets <= BROADCAST_BUCKETS:
         offsets = F.broadcast(offsets)
 
-    filled = docs.select(bucket.alias("bucket"), F.struct(order.alias("order"), F.struct(*docs.columns).alias("record")).alias("r"))
+    filled = rows.select("bucket", F.struct("order", "record").alias("r"))
     filled = filled.repartition(F.col("bucket")).groupBy("bucket").agg(F.collect_list("r").alias("rows"))
     by_order = F.array_sort("rows", lambda x, y: F.when(x["order"] < y["order"], -1).when(x["order"] > y["order"], 1).otherwise(0))
     dealt = filled.select("bucket", F.posexplode(F.shuffle(by_order, F.lit(seed))).alias("place", "r")).join(offsets, "bucket")

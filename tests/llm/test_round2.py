@@ -3,7 +3,7 @@
 import itertools
 
 import corpus_pipeline
-from ledgerloom.llm import near_dup
+from ledgerloom.llm import near_dup, sharding
 
 
 def shingle_set(text):
@@ -33,3 +33,15 @@ def test_bands_follow_the_threshold():
     for percent in range(5, 101):
         bands, rows = near_dup.banding(percent / 100)
         assert bands * rows <= near_dup.BUCKETS and (1 - (percent / 100) ** rows) ** bands <= 1e-5
+
+
+def test_shards_spread_rows_of_one_id_and_equal_rows(spark):
+    rows = [(7, f"text {i}") for i in range(400)] + [(None, None)] * 400 + [(1000 + i, "x") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sharding.shuffle_into_shards(docs, shards=4, bucket_rows=20).select("record.doc_id", "record.text", "shard", "slot").collect()
+    assert sorted((r.slot, r.shard) for r in got) == [(i // 4, i % 4) for i in range(1200)]
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(rows, key=str)
+    # A bucket is one stretch of ranks: each of six stretches holds about a third of either kind.
+    for kind in (7, None):
+        per = [sum(r.doc_id == kind and (r.slot * 4 + r.shard) // 200 == k for r in got) for k in range(6)]
+        assert 20 < min(per) and max(per) < 120
