@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import (chat_format, decision_list, mixing, multiset_hash, near_dup, packing, sharding, substring_dedup, token_counts,
-               toxicity)
+from . import (alignment, ball_tree, chat_format, decision_list, mixing, multiset_hash, near_dup, packing, sanitise, sharding,
+               substring_dedup, token_counts, toxicity)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -140,3 +140,35 @@ def op6(spark, sf):
 def op4(spark, sf):
     held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
     return toxicity.detect(documents(spark, sf, "doc_id", "text"), spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic"), held)
+
+
+@query("op11_alignment")
+def op11(spark, sf):
+    return alignment.align(documents(spark, sf, "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op12_sanitisation")
+def op12(spark, sf):
+    span = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+    return sanitise.find(documents(spark, sf, "doc_id", "text")).withColumn("spans", F.array_join(span, ","))
+
+
+TERMS = r"regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query("op13_ball_tree", """
+WITH t AS (SELECT doc_id, unnest(""" + TERMS.format("text") + """) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+total AS (SELECT count(DISTINCT doc_id) AS n_docs, count(*) AS n_words FROM t),
+size AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (SELECT DISTINCT item_id, unnest(""" + TERMS.format("text") + """) AS term FROM benchmark),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT)
+    * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_words)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN df USING (term) JOIN size USING (doc_id), total GROUP BY item_id, doc_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""")
+def op13(spark, sf):
+    index = ball_tree.build(documents(spark, sf, "doc_id", "text"))
+    return ball_tree.search(index, spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text"))

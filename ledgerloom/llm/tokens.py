@@ -69,3 +69,12 @@ def shingles(h: np.ndarray, k: int = 5) -> np.ndarray:
         with np.errstate(over="ignore"):
             return mix(np.array([(h * ODD[8:8 + len(h)]).sum() + np.uint64(len(h))], dtype=np.uint64))
     return np.unique(rolling(h, k))
+
+
+# Terms: runs of digits, ASCII letters (lower-cased) and all characters beyond ASCII. Other bytes become spaces.
+TERM_BYTES = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
+
+
+def terms(text: str | None) -> list[bytes]:
+    """Terms of a text in order, with repeats; only A-Z are lower-cased."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(TERM_BYTES).split()
