@@ -211,6 +211,16 @@ class _Tree:
         by = np.argsort(key, kind="stable")
         self.doc, self.value = doc[at >= 0][by], _numbers(row["value"])[at >= 0][by]
         self.to = np.r_[0, np.cumsum(np.bincount(key, minlength=len(self.leaf) * self.width))]
+        # Per node and term how far above 0 its documents reach: parents come before their children.
+        self.reach = np.zeros((len(self.start), self.width), dtype=np.int64)
+        filled = np.flatnonzero(np.diff(self.to))
+        if len(filled):
+            top = np.zeros(len(self.leaf) * self.width, dtype=np.int64)
+            top[filled] = np.maximum.reduceat(self.value, self.to[:-1][filled])
+            self.reach[list(self.leaf)] = top.reshape(len(self.leaf), self.width)
+        for k in range(len(self.start) - 1, -1, -1):
+            if self.left[k] >= 0:
+                np.maximum(self.reach[self.left[k]], self.reach[self.right[k]], out=self.reach[k])
 
     def scores(self, k: int, ids: np.ndarray, w: np.ndarray) -> np.ndarray:
         """Exact scores of a leaf's documents."""
@@ -225,13 +235,16 @@ class _Tree:
         """Put the documents into ``best``, a heap of at most ``k`` (score, -doc_id); the number of leaves scored.
 
         No document of a node scores more than query times centre plus length of the query times
-        radius. All are whole numbers, both lengths rounded up, so the bound is safe; a node goes
-        only if it lies below the k-th score, so that equal scores are still settled by id."""
+        radius. Along the query's own terms, which are few, the ball is cut to the stretch that the
+        node's documents reach on each (one-dimensional balls), which binds where documents share
+        few terms. All are whole numbers, both lengths rounded up, so the bounds are safe; a node
+        goes only if it lies below the k-th score, so that equal scores are still settled by id."""
         ids = self.own[at]
         ids, w = ids[ids >= 0], w[ids >= 0]
         if not len(ids):
             return 0
-        bound = (self.centres[:, ids] @ w + _ceil_root(int((w * w).sum())) * self.radius).tolist()
+        ball = self.centres[:, ids] @ w + _ceil_root(int((w * w).sum())) * self.radius
+        bound = np.minimum(ball, self.reach[:, ids] @ w).tolist()
         open_, scored = [(-bound[0], 0)], 0
         while open_:
             b, node = heapq.heappop(open_)
