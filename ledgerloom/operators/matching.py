@@ -37,9 +37,9 @@ def fuzzy_match(left: DataFrame, right: DataFrame, params: MatchParams = MatchPa
 
     Enough means ceil(0.4 * smaller set), so two rows match on one common word when either has
     at most two words, and on two when either has at most five. Those cases need no pairs: the
-    right side is reduced to the first ``seq`` per (day, amount, word) or (.., two words). Only
-    when both sides have six or more words are candidates compared. Equal rows are one
-    signature on each side.
+    right side is reduced to the first ``seq`` per (day, amount, word) or (.., two words). Where
+    both sides have six or more words a prefix filter picks what is compared (``_long_matches``).
+    Equal rows are one signature on each side.
     """
     num, den = params.overlap_num, params.overlap_den
     lw = left.select("*", F.col("tx_date").alias("day"), word_set(F.col("description")).alias("words"))
@@ -64,12 +64,8 @@ def fuzzy_match(left: DataFrame, right: DataFrame, params: MatchParams = MatchPa
     asks = near.withColumn("e", F.explode(_keys())).select("*", "e.*").filter(F.col("need") >= F.col("k"))
     found = asks.join(table, key).select(
         *SIG, F.when(F.col("need") == F.col("k"), F.col("any")).otherwise(F.col("own")).alias("m"))
-    long_r = (rnear.filter(F.col("need") >= 3).select(*place, "m", F.col("words").alias("r_words"), F.col("need").alias("r_need"))
-              .withColumn("key", F.explode(_pairs(F.col("r_words")))))
-    big = (near.filter(F.col("need") >= 3).withColumn("key", F.explode(_pairs(F.col("words"))))
-           .join(long_r, [*place, "key"])
-           .filter(F.size(F.array_intersect("words", "r_words")) >= F.least("need", "r_need"))
-           .select(*SIG, "m"))
+    owners, big = _long_matches(near.filter(F.col("need") >= 3), rnear.filter(F.col("need") >= 3))
+    big = owners.join(big, [*place, "shared", "need"]).select(*SIG, "m")
     best = (found.unionByName(big).filter(F.col("m").isNotNull())
             .groupBy(*SIG).agg(F.min("m").alias("m")))
     return attach(lw, best, SIG, ["tx_id"], "left", counts=counts).select(
@@ -77,6 +73,46 @@ def fuzzy_match(left: DataFrame, right: DataFrame, params: MatchParams = MatchPa
         "m.match_ts")
 
 
+def _long_matches(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Set-similarity join of rows that need three or more common words.
+
+    left(*SIG, near_day, need), right(customer_id, cents, near_day, words, need, m): the left rows with
+    the words they ``shared`` with any right row of their place, and (place, shared, need, m), the
+    first right row for each such set.
+
+    Words that the other side has nowhere at that place cannot count, so rows that differ in
+    those only are one set. Of the rest, rarest first, all but the last ``t - 1`` must hold a common
+    word if ``t`` are common: sets meet on that prefix only, where ``t`` is the smaller need, so a word
+    that all texts have joins nobody but those that have little else.
+    """
+    place = ["customer_id", "cents", "near_day"]
+    lw = left.select(*SIG, "near_day", "need", F.explode("words").alias("word"))
+    rw = right.select(*place, "words", "need", "m", F.explode("words").alias("word"))
+    common = (lw.groupBy(*place, "word").agg(F.count(F.lit(1)).alias("l_n"))
+              .join(rw.groupBy(*place, "word").agg(F.count(F.lit(1)).alias("r_n")), [*place, "word"])
+              .select(*place, "word", (F.col("l_n") + F.col("r_n")).alias("held")))
+
+    def sets(rows: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+        ordered = F.sort_array(F.collect_list(F.struct("held", "word")))
+        out = rows.join(common, [*place, "word"]).groupBy(*keys, "need").agg(ordered.alias("o"), *more)
+        return out.filter(F.size("o") >= 3).withColumn("shared", F.col("o.word")).drop("o")
+
+    owners = sets(lw, [*SIG, "near_day"])
+    rights = sets(rw, [*place, "words"], F.min("m").alias("m")).groupBy(*place, "shared", "need").agg(F.min("m").alias("m"))
+
+    def prefix(rows: DataFrame, side: str) -> DataFrame:
+        """A word usable up to ``t``: at place i of n words it is in the prefix if t <= n - i."""
+        return (rows.select("*", F.posexplode(F.slice("shared", 1, F.size("shared") - 2)).alias("i", "word"))
+                .withColumn(f"{side}_most", F.size("shared") - F.col("i")).drop("i")
+                .withColumnsRenamed({"need": f"{side}_need", "shared": f"{side}_shared"}))
+
+    t = F.least("l_need", "r_need")
+    met = (prefix(owners.select(*place, "shared", "need").distinct(), "l").join(prefix(rights, "r"), [*place, "word"])
+           .filter((t <= F.col("l_most")) & (t <= F.col("r_most")))
+           .filter(F.size(F.array_intersect("l_shared", "r_shared")) >= t))
+    return owners, met.groupBy(*place, F.col("l_shared").alias("shared"), F.col("l_need").alias("need")).agg(F.min("m").alias("m"))
+
+
 def _keys() -> Column:
     """Single words as k = 1 and pairs of words as k = 2."""
     def tagged(c, k):
