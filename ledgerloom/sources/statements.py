@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..functions.values import iso_date, iso_timestamp, money, parse_amount
+from ..operators.stage import written
 
 PROVIDER_FIELDS = ["accountType", "accountHolder", "accountName", "bsb", "accountNumber", "date",
                    "description", "amount", "Balance", "Category", "thirdParty", "transactionType", "pending"]
@@ -40,43 +40,59 @@ def canonical_rows(raw: DataFrame, balance: str = "Balance", category: Column |
                       category.alias("category"), pending.alias("pending"))
 
 
-def _csv(spark: SparkSession, path, fields, **options) -> DataFrame:
-    """Text columns by header name; columns a file lacks are null.
+# A separator no statement holds: lines are read whole, less each file's header.
+LINE = {"header": True, "sep": "\uffff", "quote": "", "enforceSchema": True}
+BROADCAST_BYTES = 64 << 20
 
-    Each file's own first line is its header: files are read once per distinct header and put
-    together by name, so a file with other columns costs nothing but itself. Empty files have
-    no rows. Without any file the result has the named fields and no rows.
-    """
-    return _by_header(spark, _headers(spark, path, **options), fields)
 
+def csv_headers(spark: SparkSession, path, **options) -> DataFrame:
+    """file and header: the first line with text of each file, as data. A path that does not exist is
+    an error; a folder without files, and files without text, give no rows."""
+    lines = spark.read.options(**options).text(path)
+    first = lines.select(F.col("_metadata.file_path").alias("source_file"), "value", F.monotonically_increasing_id().alias("n"),
+                         F.col("_metadata.file_block_start").alias("at")).filter((F.col("at") == 0) & (F.trim("value") != ""))
+    return first.groupBy("source_file").agg(F.min_by("value", "n").alias("header"))
 
-def _headers(spark: SparkSession, path, **options) -> DataFrame:
-    """file and header: the first line of each file's first block, found where the file lies."""
-    try:
-        lines = spark.read.options(**options).text(path)
-    except AnalysisException:  # no file at all
-        return spark.createDataFrame([], "file string, header string")
-    first = lines.select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("n"),
-                         F.col("_metadata.file_block_start").alias("at")).filter("at = 0")
-    return first.groupBy("file").agg(F.min_by("value", "n").alias("header"))
 
+def csv_rows(spark: SparkSession, path, fields: list[str], keep: Column | None = None, **options) -> DataFrame:
+    """The named text columns of CSV files, whatever columns each file has and in whatever order;
+    and ``source_file`` and ``line``.
 
-def _by_header(spark: SparkSession, headers: DataFrame, fields) -> DataFrame:
-    out = None
-    for r in headers.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files")).orderBy("header").collect():
-        reader = spark.read.options(header=True, escape='"')
-        names = reader.csv(r["files"][0]).columns
-        raw = (reader.options(enforceSchema=True).schema(", ".join(f"`{c}` string" for c in names)).csv(r["files"])
-               .withColumns({"source_file": F.col("_metadata.file_path"), "block": F.col("_metadata.file_block_start")}))
-        out = raw if out is None else out.unionByName(raw, allowMissingColumns=True)
-    if out is None:
-        out = spark.createDataFrame([], "source_file string, block bigint")
-    return out.select("*", *[F.lit(None).cast("string").alias(f) for f in fields if f not in out.columns])
+    Headers are data: every line is split by ``from_csv`` into as many texts as the widest header
+    has, meets the header of its file by path, and gives the texts at the places where this
+    header has the fields. So the plan is the same for one header or thousands, and paths stay in
+    tables. A name is looked up as written, then in any case; of equal names the first counts. A
+    field that a file lacks is null. ``keep`` (over ``source_file``) picks files.
+    """
+    chosen = F.lit(True) if keep is None else keep
+    headers = written(csv_headers(spark, path, **options).filter(chosen))
+    files, size, width = headers.agg(F.count(F.lit(1)), F.sum(F.length("source_file") + 8 * len(fields)), F.max(F.size(F.split("header", ",")))).first()
+    columns = ", ".join(f"c{i} string" for i in range(width or 1))
+
+    def split(line: str) -> Column:
+        # The limit on columns is the parser's own guard; here the widest header sets it.
+        parsed = F.from_csv(line, columns, {"escape": '"', "maxColumns": str(max(20_480, 2 * (width or 1)))})
+        return F.array(*[parsed[f"c{i}"] for i in range(width or 1)])
+
+    def place(name: str) -> Column:
+        exact, any_case = F.array_position("names", F.lit(name)), F.array_position(F.transform("names", F.lower), F.lit(name.lower()))
+        return F.when(exact > 0, exact).otherwise(any_case)
+
+    known = headers.select("source_file", split("header").alias("names"))
+    # Null names would hide the others from array_position.
+    known = known.withColumn("names", F.transform("names", lambda n: F.coalesce(n, F.lit(""))))
+    known = known.select("source_file", F.array(*[place(f) for f in fields]).alias("places"))
+    if (size or 0) <= BROADCAST_BYTES:
+        known = F.broadcast(known)
+    lines = (spark.read.options(**LINE, **options).schema("line string").csv(path)
+             .select("line", F.col("_metadata.file_path").alias("source_file")).filter(chosen))
+    rows = lines.join(known, "source_file").withColumn("_t", split("line"))
+    return rows.select("source_file", "line", *[F.when(F.col("places")[i] > 0, F.get("_t", (F.col("places")[i] - 1).cast("int"))).alias(f) for i, f in enumerate(fields)])
 
 
 def read_statement_csv(spark: SparkSession, path, **options) -> DataFrame:
     """SRC1: provider CSV files."""
-    return canonical_rows(_csv(spark, path, PROVIDER_FIELDS, **options))
+    return canonical_rows(csv_rows(spark, path, PROVIDER_FIELDS, **options))
 
 
 def statement_json_rows(texts: DataFrame, value: str = "value") -> DataFrame:
@@ -107,11 +123,7 @@ def read_statements(spark: SparkSession, path: str, format: str = "auto") -> Dat
         return read_statement_csv(spark, path)
     if format == "json":
         return read_statement_json(spark, path)
-    headers = _headers(spark, path, recursiveFileLookup=True)
-    is_json = F.lower("file").endswith(".json")
-    csv = canonical_rows(_by_header(spark, headers.filter(~is_json), PROVIDER_FIELDS))
-    if headers.filter(is_json).isEmpty():
-        return csv
+    csv = canonical_rows(csv_rows(spark, path, PROVIDER_FIELDS, ~F.lower("source_file").endswith(".json"), recursiveFileLookup=True))
     json = read_statement_json(spark, path, pathGlobFilter="*.[jJ][sS][oO][nN]", recursiveFileLookup=True)
     return csv.unionByName(json, allowMissingColumns=True)
 
@@ -144,8 +156,10 @@ def card_rows(raw: DataFrame) -> DataFrame:
 
 
 def read_card_csv(spark: SparkSession, path, **options) -> DataFrame:
-    """SRC4: card CSV files of one bank."""
-    return card_rows(_csv(spark, path, [], **options))
+    """SRC4: card CSV files of any banks, each with its own header."""
+    # Names that differ in case only are one column here.
+    names = list({n.lower(): n for n in [*CARD_DESCRIPTION, *CARD_AMOUNT, *CARD_DATE]}.values())
+    return card_rows(csv_rows(spark, path, names, **options).drop("line"))
 
 
 def provider_match_rows(raw: DataFrame) -> DataFrame:
@@ -194,11 +208,9 @@ def read_categorised(spark: SparkSession, folder: str,
                      glob: str = "*categorized*.csv") -> tuple[DataFrame, DataFrame]:
     """SRC8: every customer's file of a folder in one read; bad rows come back apart.
 
-    A row is named by its file, a hash of its columns and its number among equal rows of the
+    A row is named by its file, a hash of its line and its number among equal rows of the
     file, which are interchangeable: the name does not depend on blocks, packing or cluster.
     """
-    raw = _csv(spark, folder, CATEGORISED_FIELDS, pathGlobFilter=glob).drop("block")
-    same = [c for c in raw.columns if c != "source_file"]
-    raw = raw.withColumn("row_hash", F.hex(F.xxhash64(*same)))
+    raw = csv_rows(spark, folder, CATEGORISED_FIELDS, pathGlobFilter=glob).withColumn("row_hash", F.hex(F.xxhash64("line"))).drop("line")
     copy = W.partitionBy("source_file", "row_hash").orderBy(F.monotonically_increasing_id())
     return categorised_rows(raw.withColumn("row_no", F.row_number().over(copy)))
