@@ -3,7 +3,7 @@ once are written to a shared folder first."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import CascadeParams, MetricParams
@@ -12,6 +12,7 @@ from ..functions.values import cents
 from ..operators import cascade, filters, labels, learning, metrics, transfers
 from ..operators.rules import RuleBook
 from ..operators.stage import written
+from ..sources import api_json, files, runs as run_files, sinks
 
 
 def categorise(tx: DataFrame, rules: RuleBook | DataFrame | None = None, mapping: DataFrame | None = None,
@@ -58,3 +59,34 @@ def labelled_dataset(api: DataFrame, records: DataFrame, groups: DataFrame, runs
     return {"dataset": dataset, "rejected": rejected, **more, "coverage": labels.coverage(dataset, records, reports),
             "reconciliation": labels.reconcile(dataset, groups), "splits": splits,
             "manifest": labels.split_manifest(splits), "split_personas": labels.split_personas(splits)}
+
+
+def index_folder(spark: SparkSession, root: str, out: str) -> DataFrame:
+    """AGG17/SNK3: the run index of a folder of artefacts, written below ``out`` and read again. Names
+    of customers come from the documents of verified credentials."""
+    found = written(files.list_files(spark, root))
+    verified = files.classify_files(found).filter(F.col("artifact_type") == dict(files.INDEX_COLUMNS)["verify_files"]).select("run_id", "relative_path")
+    texts = (spark.read.options(recursiveFileLookup=True, pathGlobFilter="*.json").text(root.rstrip("/"), wholetext=True)
+             .select("value", files.relative_to(root, F.col("_metadata.file_path")).alias("relative_path")))
+    sinks.write_run_index(found, out, files.personas(verified.join(texts, "relative_path")))
+    return api_json.read_run_index(spark, out + "/runs")
+
+
+def dataset_from_files(spark: SparkSession, root: str, index: DataFrame, taxonomy: DataFrame | None = None,
+                       overrides: DataFrame | None = None, glob: str = "*.json") -> dict[str, DataFrame]:
+    """DST4 from raw files: the documents that ``index`` (``read_run_index``) lists below ``root``, to what
+    ``labelled_dataset`` gives; besides, ``rejected_documents`` (run, path, reason) that are not JSON
+    and ``missing_documents`` that are listed and not there. Neither ends the job.
+
+    Files are read once where a shared folder takes the texts. A report's place among its run's
+    paths orders its records, so the label of a key with conflicts does not depend on tasks.
+    """
+    docs = written(run_files.run_documents(spark, root, index, glob))
+    out = labelled_dataset(run_files.api_rows(docs), run_files.report_rows(docs), run_files.report_groups(docs), index, taxonomy, overrides)
+    return {**out, "rejected_documents": api_json.rejected_documents(docs), "missing_documents": run_files.missing_documents(spark, root, index)}
+
+
+def dataset_from_folder(spark: SparkSession, root: str, out: str, taxonomy: DataFrame | None = None,
+                        overrides: DataFrame | None = None) -> dict[str, DataFrame]:
+    """From a folder of artefacts, ``group/run/kind/file``, to the dataset; the index is written below ``out``."""
+    return dataset_from_files(spark, root, index_folder(spark, root, out), taxonomy, overrides)

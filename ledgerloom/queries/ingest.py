@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from ..functions import values as V
 from ..operators import labels
 from ..operators.stage import shared_folder
-from ..sources import api_json, files, sinks, statements, tables as table_files
+from .. import tables
+from ..plans import jobs
+from ..sources import api_json, files, runs, sinks, statements, tables as table_files
 from .base import sql, table, transactions
-from .dataset import API, api, records
+from .dataset import API, DEDUP, FOLD, LABEL, api, records, rsql
 from .learning import DICT, dictionary
 from .registry import query
 from .shaping import day_text, money_text, seq
@@ -163,6 +165,46 @@ def agg15_reports(spark, sf):
         "report_total", F.col("report_total").cast("double"))
 
 
+def written_documents(spark, sf):
+    """Transaction documents and reports as files, one each, and their run index: (root, index)."""
+    root = scratch(spark)
+    item = F.struct(F.col("tx_id").alias("id"), "amount", "direction", "description", F.col("transaction_date").alias("transactionDate"), F.col("post_date").alias("postDate"))
+    tx = api(spark, sf).groupBy("run_id", "path").agg(F.to_json(F.struct(F.array_sort(F.collect_list(F.struct("pos", item.alias("i")))).getField("i").alias("data"))).alias("value"))
+    one = F.struct(F.col("code").alias("id"), F.struct(F.struct(F.col("amount").alias("total")).alias("amount")).alias("analysis"),
+                   F.array(F.struct(F.col("tx_id").alias("id"), "description", "amount", "date")).alias("transactions"))
+    reports = records(spark, sf).groupBy("run_id", F.lpad(F.col("report_seq").cast("string"), 6, "0").alias("path")).agg(
+        F.to_json(F.struct(F.struct(F.array_sort(F.collect_list(F.struct("pos", one.alias("g")))).getField("g").alias("groups")).alias("data"))).alias("value"))
+    rows = tx.withColumns({"kind": F.lit("tx"), "path": F.element_at(F.split("path", "/"), -1)}).unionByName(reports.withColumn("kind", F.lit("report")))
+    # The text writer gives one file per partition folder: a folder is a document.
+    rows.select("value", F.replace("run_id", F.lit("/"), F.lit(".")).alias("run"), "kind", F.col("path").alias("doc")).write.partitionBy("run", "kind", "doc").text(root + "/docs")
+    at = F.split("relative_path", "/")
+    listed = files.list_files(spark, root + "/docs", ["*.txt"]).select(
+        F.replace(F.split_part(F.get(at, F.lit(0)), F.lit("="), F.lit(2)), F.lit("."), F.lit("/")).alias("run_id"), (F.get(at, F.lit(1)) == "kind=tx").alias("tx"), "relative_path")
+    index = listed.groupBy("run_id").agg(F.collect_list(F.when(F.col("tx"), F.col("relative_path"))).alias("tx_files"),
+                                         F.collect_list(F.when(~F.col("tx"), F.col("relative_path"))).alias("affordability_files"))
+    sinks.write_json(index.withColumn("has_affordability_report", F.size("affordability_files") > 0), root + "/index")
+    return root + "/docs", api_json.read_run_index(spark, root + "/index")
+
+
+@query("dst4_from_files", rsql("""SELECT run_id, tx_id, direction, amount, description, label_source, label_group_code,
+  CASE WHEN report_path = '' THEN '' ELSE lpad(regexp_extract(report_path, 'report_([0-9]+)', 1), 6, '0') END AS report FROM done""", API, DEDUP, FOLD, LABEL))
+def dst4_files(spark, sf):
+    """Raw files and a run index to the dataset."""
+    root, index = written_documents(spark, sf)
+    asked = spark.createDataFrame(list(labels.DEFAULTS.items()), "kind string, code string")
+    out = jobs.dataset_from_files(spark, root, index, tables.taxonomy(spark), asked, "*.txt")["dataset"]
+    return out.select("run_id", "tx_id", "direction", F.col("amount").cast("double").alias("amount"), "description", "label_source", "label_group_code",
+                      F.regexp_extract("report_path", "doc=([0-9]+)", 1).alias("report"))
+
+
+@query("src10_run_totals", sql("""SELECT run_id, lpad(CAST(report_seq AS VARCHAR), 6, '0') AS report, code,
+  CAST(sum(CAST(round(CAST(amount AS DOUBLE) * 100) AS BIGINT)) AS BIGINT) / 100.0 AS report_total FROM rec GROUP BY 1, 2, 3""", API))
+def src10_totals(spark, sf):
+    root, index = written_documents(spark, sf)
+    out = labels.report_totals(runs.report_groups(runs.run_documents(spark, root, index, "*.txt")))
+    return out.select("run_id", F.regexp_extract("report_path", "doc=([0-9]+)", 1).alias("report"), "code", F.col("report_total").cast("double").alias("report_total"))
+
+
 @query("src15_persona", sql("""SELECT customer_id, CASE customer_id % 4 WHEN 0 THEN 'Full ' || customer_id WHEN 1 THEN 'First' WHEN 2 THEN 'A B' END AS persona
   FROM (SELECT DISTINCT customer_id FROM tx)"""))
 def src15(spark, sf):

@@ -19,12 +19,16 @@ def list_files(spark: SparkSession, root: str, globs: list[str] | None = None) -
     """SRC13: relative path, size and change time of every file below a root; no content is read."""
     base = root.rstrip("/")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
-    rel = F.regexp_extract("path", "^(?:[a-z0-9]+:)?/*" + _quote(base.split(":")[-1].lstrip("/")) + "/(.*)$", 1)
-    out = files.select(rel.alias("relative_path"), "path", F.col("length").alias("size_bytes"),
+    out = files.select(relative_to(base, F.col("path")).alias("relative_path"), "path", F.col("length").alias("size_bytes"),
                        F.col("modificationTime").alias("modified_at"))
     return out.filter(path_included(F.col("relative_path"), globs)) if globs else out
 
 
+def relative_to(root: str, path: Column) -> Column:
+    """The path below a root, whatever scheme either is written with."""
+    return F.regexp_extract(path, "^(?:[a-z0-9]+:)?/*" + _quote(root.rstrip("/").split(":")[-1].lstrip("/")) + "/(.*)$", 1)
+
+
 def _quote(text: str) -> str:
     return r"\Q" + text + r"\E"
 
