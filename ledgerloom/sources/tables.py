@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,16 +56,40 @@ def read_patterns(spark: SparkSession, folder: str) -> DataFrame:
     versions = _versions(spark, folder)
     if not versions:
         return spark.createDataFrame([], PATTERN_SCHEMA)
-    return spark.read.schema(PATTERN_SCHEMA).parquet(f"{folder.rstrip('/')}/version={versions[-1]:010d}")
+    return spark.read.schema(PATTERN_SCHEMA).parquet(f"{folder.rstrip('/')}/{versions[-1]['path']}")
 
 
-def write_patterns(patterns: DataFrame, folder: str) -> int:
-    """LRN11: writes the next snapshot next to the old ones and returns its number."""
-    spark = patterns.sparkSession
+def write_patterns(patterns: DataFrame, folder: str, stream: str | None = None, batch: int | None = None) -> int:
+    """LRN11: writes the next snapshot next to the old ones and returns its number.
+
+    The rows go to a folder of their own that no reader looks at; a manifest written last, never
+    over another, makes them the next version. A writer that dies before leaves nothing, and of
+    two that want the same number one fails. With ``stream`` and ``batch`` the manifest also says which
+    micro-batch it holds, see ``committed``.
+    """
+    spark, root = patterns.sparkSession, folder.rstrip("/")
+    versions = _versions(spark, folder)
+    number = versions[-1]["version"] + 1 if versions else 1
+    path = f"data/{uuid.uuid4().hex}"
+    patterns.write.mode("errorifexists").parquet(f"{root}/{path}")
+    done = versions[-1].get("batches", {}) if versions else {}
+    if stream is not None:
+        done = {**done, stream: batch}
+    text = json.dumps({"version": number, "path": path, "batches": done})
+    system, at = _hadoop(spark, f"{root}/manifest/{number:010d}.json")
+    out = system.create(at, False)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    return number
+
+
+def committed(spark: SparkSession, folder: str, stream: str, batch: int) -> bool:
+    """Whether a snapshot holds this micro-batch of a stream, or a later one. Every manifest carries the
+    last batch of each stream on, so the newest one knows."""
     versions = _versions(spark, folder)
-    nxt = (versions[-1] + 1) if versions else 1
-    patterns.write.mode("errorifexists").parquet(f"{folder.rstrip('/')}/version={nxt:010d}")
-    return nxt
+    return bool(versions) and versions[-1].get("batches", {}).get(stream, -1) >= batch
 
 
 def snapshot_metadata(spark: SparkSession, folder: str) -> DataFrame:
@@ -74,10 +99,26 @@ def snapshot_metadata(spark: SparkSession, folder: str) -> DataFrame:
         F.max("last_used").alias("last_used"))
 
 
-def _versions(spark: SparkSession, folder: str) -> list[int]:
-    """Finished snapshots: those with a success marker."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder.rstrip("/") + "/version=*/_SUCCESS")
-    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = system.globStatus(path) or []
-    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
+def _hadoop(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def _versions(spark: SparkSession, folder: str) -> list[dict]:
+    """Finished snapshots in order: those with a manifest, and those of older form, whose folders have a
+    success marker. A manifest that was cut off is none."""
+    root = folder.rstrip("/")
+    system, at = _hadoop(spark, f"{root}/version=*/_SUCCESS")
+    old = [f.getPath().getParent().getName() for f in system.globStatus(at) or []]
+    found = [{"version": int(name.split("=")[1]), "path": name} for name in old]
+    system, at = _hadoop(spark, f"{root}/manifest/*.json")
+    names = [f.getPath().getName() for f in system.globStatus(at) or []]
+    # Only the newest that can be read matters.
+    for name in sorted(names, reverse=True):
+        try:
+            made = json.loads("\n".join(r.value for r in spark.read.text(f"{root}/manifest/{name}").collect()))
+        except ValueError:
+            continue
+        found.append(made)
+        break
+    return sorted(found, key=lambda v: v["version"])

@@ -98,7 +98,7 @@ def test_monthly_totals_of_a_stream_with_late_rows(spark, tmp_path):
         return spark.createDataFrame([(str(i), 1, dt.date.fromisoformat(d), "x", c, None, None) for i, (d, c) in enumerate(items)], streams.TX_SCHEMA)
 
     root = str(tmp_path / "in")
-    rows(("2024-01-05", 1), ("2024-01-05", 2), ("2024-02-01", 4)).write.parquet(root)
+    rows(("2024-01-05", 1), ("2024-01-05", 2), ("2024-02-01", 4)).coalesce(1).write.parquet(root)
     daily = streams.daily_totals_stream(streams.statement_stream(spark, root, max_files=1), "10 days")
     q = daily.writeStream.format("memory").queryName("days").outputMode("append").start()
     q.processAllAvailable()
