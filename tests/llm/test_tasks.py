@@ -98,7 +98,7 @@ def test_spliced_counts(spark, odd, odd_rows, empty, chunk, overlap):
     assert token_counts.token_counts(empty, WORDS).count() == 0
 
 
-def near_truth(rows):
+def near_truth(rows, num=85):
     sets, up = {}, {}
     for i, text in rows:
         w = (text or "").encode().lower().split()
@@ -112,7 +112,7 @@ def near_truth(rows):
 
     for a, b in itertools.combinations([i for i in sets if sets[i]], 2):
         k = len(sets[a] & sets[b])
-        if 100 * k >= 85 * (len(sets[a]) + len(sets[b]) - k):
+        if 100 * k >= num * (len(sets[a]) + len(sets[b]) - k):
             x, y = find(a), find(b)
             up[max(x, y)] = min(x, y)
     return sets, {i: find(i) for i in up}
@@ -263,7 +263,7 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, tmp_path):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     kept = corpus_pipeline.drop_toxic(spark, docs, sf)
     rows = [(r.doc_id, r.text) for r in kept.collect()]
-    _, group = near_truth(rows)
+    _, group = near_truth(rows, 80)
     near = corpus_pipeline.drop_near_duplicates(spark, kept, sf)
     rest = [(r.doc_id, r.text) for r in near.collect()]
     assert sorted(rest) == sorted((i, t) for i, t in rows if group[i] == i)
