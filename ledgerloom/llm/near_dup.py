@@ -19,6 +19,7 @@ MANTISSA = 10           # bits kept after the leading one; 6 more hold the count
 MISS = 1e-5             # bound on the probability that a pair at the threshold shares no band
 MARGIN = 6.0            # standard errors below the threshold at which an estimate rules a pair out
 EMPTY = np.uint64(2**64 - 1)
+PARITY = 1024           # bits, each the parity of a set's hashes that fall on it
 
 
 def banding(least: float) -> tuple[int, int]:
@@ -63,6 +64,13 @@ def band_keys(regs: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndar
         return tokens.mix((cut * tokens.ODD[:rows]).sum(axis=1) + np.arange(bands, dtype=np.uint64) * tokens.ODD[50])
 
 
+def parity(u: np.ndarray) -> np.ndarray:
+    """Which of PARITY places an odd number of hashes falls on, as 64-bit words. Two sets differ in at
+    least as many elements as their words differ in bits."""
+    odd = np.bincount((u & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def estimate(equal: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Jaccard estimate from the number of equal registers, corrected for those that are equal
     by chance: 0.1699 * buckets / 2^mantissa * phi of them are expected in unrelated sets of n
@@ -74,7 +82,7 @@ def estimate(equal: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 def _sketches(bands: int, rows: int):
     def run(texts: list) -> dict:
-        out = {"n": [], "same": [], "regs": [], "bands": []}
+        out = {"n": [], "same": [], "regs": [], "bands": [], "parity": []}
         for text in texts:
             w = tokens.split(text, lower=True)
             u = tokens.shingles(tokens.hashes(w), SHINGLE)
@@ -83,13 +91,15 @@ def _sketches(bands: int, rows: int):
             out["same"].append(tokens.identity(w) if len(u) else None)
             out["regs"].append(regs.tobytes() if len(u) else None)
             out["bands"].append(band_keys(regs, bands, rows).view(np.int64) if len(u) else None)
+            out["parity"].append(parity(u) if len(u) else None)
         return out
 
     return run
 
 
 def _sets(texts: list) -> dict:
-    return {"set": [tokens.shingles(tokens.hashes(tokens.split(t, lower=True)), SHINGLE).view(np.int64) for t in texts]}
+    words = [tokens.split(t, lower=True) for t in texts]
+    return {"same": list(map(tokens.identity, words)), "set": [tokens.shingles(tokens.hashes(w), SHINGLE).view(np.int64) for w in words]}
 
 
 def _ruled_in(least: float):
@@ -119,41 +129,53 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     between different texts is left out, and a band of m alike texts costs about m comparisons.
 
     A shingle that only one of the candidate texts has is in no intersection. So two texts of n
-    and m shingles with u and v own ones share at most min(n - u, m - v); pairs that cannot reach
-    the threshold so are not formed, whatever bands they share. This keeps a large group of
-    texts that are each too far from the others from being compared pair by pair.
+    and m shingles with u and v own ones share at most min(n - u, m - v). And they differ in at
+    least as many shingles as their parity words (``parity``) in bits. Pairs that cannot reach the
+    threshold by either bound are not formed, whatever bands they share, so a group of texts
+    that all stay apart costs a look at a few words for each member and hub, and no pairs.
 
     No words or null text: n_shingles 0, linked with nothing. Rows without ``doc_id`` come back
-    with null ``component_id``, kept. Rows that repeat an id are one document. Other columns
-    are ignored; an empty table gives no rows.
+    with null ``component_id``, kept. Rows that repeat an id are one document, which is linked with
+    what any of its texts is linked with. Other columns are ignored; an empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint"), "text")
-    all_ = scratch.write(map_texts(texts, _sketches(*banding(num / den)), "n bigint, same binary, regs binary, bands array<bigint>", ["doc_id"]), "sketches")
-    classes = scratch.write(all_.filter("doc_id is not null and n > 0").groupBy("same").agg(F.min("doc_id").alias("rep")), "classes")
-
-    heads = classes.select(F.col("rep").alias("doc_id"), "same")
-    banded = all_.join(heads, ["doc_id", "same"]).select("doc_id", "n", "regs", "bands").dropDuplicates(["doc_id"])
+    kept = "n bigint, same binary, regs binary, bands array<bigint>, parity array<bigint>"
+    all_ = scratch.write(map_texts(texts, _sketches(*banding(num / den)), kept, ["doc_id"]), "sketches")
+    # A class is known by a number of its own: one id may stand for several classes.
+    classes = scratch.write(all_.filter("doc_id is not null and n > 0").groupBy("same").agg(F.min("doc_id").alias("rep"))
+                            .withColumn("node", F.xxhash64("same")), "classes")
+
+    heads = classes.select(F.col("rep").alias("doc_id"), "same", "node")
+    banded = all_.join(heads, ["doc_id", "same"]).select(F.col("node").alias("doc_id"), "n", "regs", "bands", "parity").dropDuplicates(["doc_id"])
     banded = scratch.write(banded, "banded")
     keys = banded.select(F.explode("bands").alias("band"), F.col("doc_id").alias("id"))
     shared = keys.groupBy("band").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("band")
     members = scratch.write(keys.join(shared, "band"), "bands")
     ids = members.select("id").distinct()
-    known = scratch.write(banded.join(ids, F.col("doc_id") == F.col("id"), "left_semi").select("doc_id", "n", "regs", "bands"), "registers")
+    known = scratch.write(banded.join(ids, F.col("doc_id") == F.col("id"), "left_semi").select("doc_id", "n", "regs", "bands", "parity"), "registers")
     scratch.drop(banded)
-    sets = map_texts(texts.join(ids, F.col("doc_id") == F.col("id"), "left_semi"), _sets, "set array<bigint>", ["doc_id"])
-    sets = scratch.write(sets.dropDuplicates(["doc_id"]), "sets")
+    wanted = heads.join(ids, F.col("node") == F.col("id"), "left_semi")
+    sets = map_texts(texts.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi"), _sets, "same binary, set array<bigint>", ["doc_id"])
+    sets = scratch.write(sets.join(wanted, ["doc_id", "same"]).select(F.col("node").alias("doc_id"), "set").dropDuplicates(["doc_id"]), "sets")
     alone = (sets.select("doc_id", F.explode("set").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("id"))
              .filter("c = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own")))
     share = sets.select(F.col("doc_id").alias("id"), F.size("set").alias("n")).join(alone, "id", "left").select(
         "id", "n", F.coalesce("own", F.lit(0)).alias("own")).filter((F.col("n") - F.col("own")) * den >= F.col("n") * num)
-    keyed = known.select(F.col("doc_id").alias("id"), "bands")
+    keyed = known.select(F.col("doc_id").alias("id"), "bands", "parity")
     members = scratch.write(members.join(share, "id").join(keyed, "id"), "members")
 
     links, found = [], scratch.write(docs.sparkSession.createDataFrame([], "id bigint, component bigint"), "none")
+    # The texts of one id belong together from the start.
+    nodes = all_.filter("doc_id is not null and n > 0").join(classes, "same").select("doc_id", "node")
+    several = nodes.groupBy("doc_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
+    of_id = scratch.write(nodes.join(several, "doc_id").filter("node > lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct(), "ids")
+    if not of_id.isEmpty():
+        links.append(of_id)
+        found = scratch.write(components(of_id, scratch), "components")
     hubs_per_band = 1
     while True:
-        placed = members.join(found, "id", "left").select("band", "id", "n", "own", "bands", F.coalesce("component", "id").alias("component"))
+        placed = members.join(found, "id", "left").select("band", "id", "n", "own", "bands", "parity", F.coalesce("component", "id").alias("component"))
         mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("band")
         placed = scratch.write(placed.join(mixed, "band"), "placed")
         if placed.isEmpty():
@@ -166,9 +188,12 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
         hubs = scratch.write(sized.groupBy("band", slot.alias("slot")).agg(F.min(F.struct("size", (F.col("own") - F.col("n")).alias("rank"), "id", "n", "own", "component")).alias("h"))
                              .select("band", F.col("h.id").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.own").alias("hub_own"),
                                      F.col("h.component").alias("hub_component"))
-                             .join(keyed.select(F.col("id").alias("hub"), F.col("bands").alias("hub_bands")), "hub"), "hubs")
+                             .join(keyed.select(F.col("id").alias("hub"), F.col("bands").alias("hub_bands"), F.col("parity").alias("hub_parity")), "hub"), "hubs")
         most = F.least(F.col("n") - F.col("own"), F.col("hub_n") - F.col("hub_own"))
         reach = most * den >= (F.col("n") + F.col("hub_n") - most) * num
+        both_n = F.col("n") + F.col("hub_n")
+        differ = reduce(lambda x, y: x + y, [F.bit_count(F.col("parity")[i].bitwiseXOR(F.col("hub_parity")[i])) for i in range(PARITY // 64)])
+        reach = reach & ((both_n - differ) * den >= (both_n + differ) * num)
         # A pair belongs to the first band that both have: there it meets, whatever else they share.
         own_band = F.get(F.array_intersect("bands", "hub_bands"), F.lit(0)) == F.col("band")
         pairs = (placed.join(hubs, "band").filter((F.col("component") != F.col("hub_component")) & reach & own_band)
@@ -186,12 +211,17 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
             links.append(linked)
             found = scratch.write(components(reduce(DataFrame.union, links), scratch), "components")
         gone = hubs.select("band", F.col("hub").alias("id"))
-        members = scratch.write(placed.select("band", "id", "n", "own", "bands").join(gone, ["band", "id"], "left_anti"), "members")
+        members = scratch.write(placed.select("band", "id", "n", "own", "bands", "parity").join(gone, ["band", "id"], "left_anti"), "members")
         hubs_per_band *= 8
 
     scratch.keep_only(all_, classes, found)
-    of_class = classes.join(found, F.col("rep") == F.col("id"), "left").select("same", F.coalesce("component", "rep").alias("component"))
+    # A component is called by the least id of its classes.
+    of_class = classes.join(found, F.col("node") == F.col("id"), "left").select("same", "rep", F.coalesce("component", "node").alias("component"))
+    least = of_class.groupBy("component").agg(F.min("rep").alias("least"))
+    of_class = of_class.join(least, "component").select("same", "least")
     out = all_.select("doc_id", F.col("n").alias("n_shingles"), "same").join(of_class, "same", "left")
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    # An id whose rows differ in text lies in the least of their components.
+    # A text without words lies with the other texts of its id.
+    by_id = out.filter("doc_id is not null").groupBy("doc_id").agg(F.min("least").alias("of_id"))
+    out = out.join(by_id, "doc_id", "left")
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("of_id", "doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
