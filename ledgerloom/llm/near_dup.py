@@ -124,7 +124,7 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     standard errors below the threshold are let go. A band's members are not paired with each
     other: hubs (first one, then eight times as many each round) are compared with all
     members, then leave the band; members already in one component are not compared, and a
-    pair meets in the first band that both have, once. Hubs come from a band's smaller components first, and among these from the texts with
+    pair is compared once, however many bands both have. Hubs come from a band's smaller components first, and among these from the texts with
     the most shingles that others have as well. Rounds end when no band holds two components, so no link
     between different texts is left out, and a band of m alike texts costs about m comparisons.
 
@@ -153,7 +153,7 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     shared = keys.groupBy("band").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("band")
     members = scratch.write(keys.join(shared, "band"), "bands")
     ids = members.select("id").distinct()
-    known = scratch.write(banded.join(ids, F.col("doc_id") == F.col("id"), "left_semi").select("doc_id", "n", "regs", "bands", "parity"), "registers")
+    known = scratch.write(banded.join(ids, F.col("doc_id") == F.col("id"), "left_semi").select("doc_id", "n", "regs", "parity"), "registers")
     scratch.drop(banded)
     wanted = heads.join(ids, F.col("node") == F.col("id"), "left_semi")
     sets = map_texts(texts.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi"), _sets, "same binary, set array<bigint>", ["doc_id"])
@@ -162,7 +162,7 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
              .filter("c = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own")))
     share = sets.select(F.col("doc_id").alias("id"), F.size("set").alias("n")).join(alone, "id", "left").select(
         "id", "n", F.coalesce("own", F.lit(0)).alias("own")).filter((F.col("n") - F.col("own")) * den >= F.col("n") * num)
-    keyed = known.select(F.col("doc_id").alias("id"), "bands", "parity")
+    keyed = known.select(F.col("doc_id").alias("id"), "parity")
     members = scratch.write(members.join(share, "id").join(keyed, "id"), "members")
 
     links, found = [], scratch.write(docs.sparkSession.createDataFrame([], "id bigint, component bigint"), "none")
@@ -175,7 +175,7 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
         found = scratch.write(components(of_id, scratch), "components")
     hubs_per_band = 1
     while True:
-        placed = members.join(found, "id", "left").select("band", "id", "n", "own", "bands", "parity", F.coalesce("component", "id").alias("component"))
+        placed = members.join(found, "id", "left").select("band", "id", "n", "own", "parity", F.coalesce("component", "id").alias("component"))
         mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("band")
         placed = scratch.write(placed.join(mixed, "band"), "placed")
         if placed.isEmpty():
@@ -188,15 +188,13 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
         hubs = scratch.write(sized.groupBy("band", slot.alias("slot")).agg(F.min(F.struct("size", (F.col("own") - F.col("n")).alias("rank"), "id", "n", "own", "component")).alias("h"))
                              .select("band", F.col("h.id").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.own").alias("hub_own"),
                                      F.col("h.component").alias("hub_component"))
-                             .join(keyed.select(F.col("id").alias("hub"), F.col("bands").alias("hub_bands"), F.col("parity").alias("hub_parity")), "hub"), "hubs")
+                             .join(keyed.select(F.col("id").alias("hub"), F.col("parity").alias("hub_parity")), "hub"), "hubs")
         most = F.least(F.col("n") - F.col("own"), F.col("hub_n") - F.col("hub_own"))
         reach = most * den >= (F.col("n") + F.col("hub_n") - most) * num
         both_n = F.col("n") + F.col("hub_n")
         differ = reduce(lambda x, y: x + y, [F.bit_count(F.col("parity")[i].bitwiseXOR(F.col("hub_parity")[i])) for i in range(PARITY // 64)])
         reach = reach & ((both_n - differ) * den >= (both_n + differ) * num)
-        # A pair belongs to the first band that both have: there it meets, whatever else they share.
-        own_band = F.get(F.array_intersect("bands", "hub_bands"), F.lit(0)) == F.col("band")
-        pairs = (placed.join(hubs, "band").filter((F.col("component") != F.col("hub_component")) & reach & own_band)
+        pairs = (placed.join(hubs, "band").filter((F.col("component") != F.col("hub_component")) & reach)
                  .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
         pairs = scratch.write(pairs, "pairs")
         side = lambda s: known.select(F.col("doc_id").alias(s), F.col("n").alias(f"n{s}"), F.col("regs").alias(f"r{s}"))
@@ -211,7 +209,7 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
             links.append(linked)
             found = scratch.write(components(reduce(DataFrame.union, links), scratch), "components")
         gone = hubs.select("band", F.col("hub").alias("id"))
-        members = scratch.write(placed.select("band", "id", "n", "own", "bands", "parity").join(gone, ["band", "id"], "left_anti"), "members")
+        members = scratch.write(placed.select("band", "id", "n", "own", "parity").join(gone, ["band", "id"], "left_anti"), "members")
         hubs_per_band *= 8
 
     scratch.keep_only(all_, classes, found)
