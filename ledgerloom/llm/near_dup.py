@@ -7,6 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,7 +100,9 @@ def _sketches(bands: int, rows: int):
 
 def _sets(texts: list) -> dict:
     words = [tokens.split(t, lower=True) for t in texts]
-    return {"same": list(map(tokens.identity, words)), "set": [tokens.shingles(tokens.hashes(w), SHINGLE).view(np.int64) for w in words]}
+    # The number of a class as Spark's xxhash64 gives it.
+    nodes = [xxhash.xxh64_intdigest(tokens.identity(w), 42) for w in words]
+    return {"node": [n - (1 << 64) if n >> 63 else n for n in nodes], "set": [tokens.shingles(tokens.hashes(w), SHINGLE).view(np.int64) for w in words]}
 
 
 def _ruled_in(least: float):
@@ -155,9 +158,10 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     ids = members.select("id").distinct()
     known = scratch.write(banded.join(ids, F.col("doc_id") == F.col("id"), "left_semi").select("doc_id", "n", "regs", "parity"), "registers")
     scratch.drop(banded)
-    wanted = heads.join(ids, F.col("node") == F.col("id"), "left_semi")
-    sets = map_texts(texts.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi"), _sets, "same binary, set array<bigint>", ["doc_id"])
-    sets = scratch.write(sets.join(wanted, ["doc_id", "same"]).select(F.col("node").alias("doc_id"), "set").dropDuplicates(["doc_id"]), "sets")
+    wanted = heads.join(ids, F.col("node") == F.col("id"), "left_semi").select("doc_id").distinct()
+    # Other texts of a wanted id come along; their sets only weaken the bound on own shingles.
+    sets = map_texts(texts.join(wanted, "doc_id", "left_semi"), _sets, "node bigint, set array<bigint>", []).withColumnRenamed("node", "doc_id")
+    sets = scratch.write(sets.dropDuplicates(["doc_id"]), "sets")
     alone = (sets.select("doc_id", F.explode("set").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("id"))
              .filter("c = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own")))
     share = sets.select(F.col("doc_id").alias("id"), F.size("set").alias("n")).join(alone, "id", "left").select(
