@@ -20,6 +20,7 @@ MANTISSA = 10           # bits kept after the leading one; 6 more hold the count
 MISS = 1e-5             # bound on the probability that a pair at the threshold shares no band
 MARGIN = 6.0            # standard errors below the threshold at which an estimate rules a pair out
 EMPTY = np.uint64(2**64 - 1)
+BROADCAST_IDS = 1 << 22   # ids (32 MB) that go to the texts; beyond, texts are shuffled to them
 PARITY = 1024           # bits, each the parity of a set's hashes that fall on it
 
 
@@ -159,6 +160,9 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     known = scratch.write(banded.join(ids, F.col("doc_id") == F.col("id"), "left_semi").select("doc_id", "n", "regs", "parity"), "registers")
     scratch.drop(banded)
     wanted = heads.join(ids, F.col("node") == F.col("id"), "left_semi").select("doc_id").distinct()
+    wanted = scratch.write(wanted, "wanted")
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
     # Other texts of a wanted id come along; their sets only weaken the bound on own shingles.
     sets = map_texts(texts.join(wanted, "doc_id", "left_semi"), _sets, "node bigint, set array<bigint>", []).withColumnRenamed("node", "doc_id")
     sets = scratch.write(sets.dropDuplicates(["doc_id"]), "sets")
