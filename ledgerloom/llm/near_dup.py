@@ -130,7 +130,8 @@ def link(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     members, then leave the band; members already in one component are not compared, and a
     pair is compared once, however many bands both have. Hubs come from a band's smaller components first, and among these from the texts with
     the most shingles that others have as well. Rounds end when no band holds two components, so no link
-    between different texts is left out, and a band of m alike texts costs about m comparisons.
+    between different texts is left out, and a band of m texts that merge costs about m comparisons.
+    Where members stay apart, every hub still looks at every member's bounds (below).
 
     A shingle that only one of the candidate texts has is in no intersection. So two texts of n
     and m shingles with u and v own ones share at most min(n - u, m - v). And they differ in at
