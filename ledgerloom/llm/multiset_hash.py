@@ -1,8 +1,9 @@
 """Homomorphic multiset hash of a text's paragraphs, with a likeness of two fingerprints.
 
 A paragraph (a line of the text) hashes to a wide vector of 32-bit lanes: 16 lanes of its
-SHA-512, which make equality hard to fake, and 128 narrow lanes that add up, over its two-word
-pieces, 128 hashed bits of each. A text's fingerprint is the lane-wise sum over its paragraphs
+SHA-512, which make equality hard to fake, and 128 narrow lanes that add up, over its pieces,
+128 hashed bits of each. Pieces are all pairs of neighbouring words, and the last word alone, so
+a word put in or taken out touches two pieces and leaves the others. A text's fingerprint is the lane-wise sum over its paragraphs
 modulo 2^32. So order does not matter, equal multisets of paragraphs have equal fingerprints,
 and a paragraph enters or leaves by adding or subtracting its own vector.
 
@@ -23,7 +24,7 @@ SHIFTS = 32
 SEEDS = (101, 202)
 TWO_BITS = (1 << 32) + 1
 LANE = (1 << 32) - 1
-PIECE = r"(?:[^\x20\x09-\x0D]++[\x20\x09\x0B-\x0D]*+){1,2}+"
+WORD = r"[^\x20\x09-\x0D]++"
 
 
 def _unsigned(c: Column, bits: int = 32) -> Column:
@@ -39,19 +40,21 @@ def fingerprints(texts: DataFrame, keys: list[str], text_col: str = "text") -> D
     The sums begin in the task that reads a text, so a shuffle carries one row per text and
     task, however long the text is.
     """
-    # A paragraph's first piece also carries the paragraph's digest; pieces without are null.
+    # A paragraph's digest comes as a row without words before its pieces.
     line = F.transform(F.split(text_of(text_col), "\n"), lambda x: F.struct(
-        F.unhex(F.sha2(x, 512)).alias("digest"), F.regexp_extract_all(x, F.lit(PIECE), F.lit(0)).alias("pieces")))
-    lines = texts.select(*keys, F.explode(line).alias("line"))
-    units = F.concat(F.array(F.struct(F.col("line.digest").alias("digest"), F.lit(None).cast("string").alias("piece"))),
-                     F.transform("line.pieces", lambda p: F.struct(F.lit(None).cast("binary").alias("digest"), p.alias("piece"))))
-    rows = lines.select(*keys, F.explode(units).alias("u")).select(*keys, "u.digest", "u.piece")
+        F.unhex(F.sha2(x, 512)).alias("digest"), F.regexp_extract_all(x, F.lit(WORD), F.lit(0)).alias("words")))
+    lines = texts.select(*keys, F.explode(line).alias("line")).select(*keys, "line.digest", "line.words")
+    piece = lambda d, a, b: F.struct(d.alias("digest"), a.alias("a"), b.alias("b"))
+    none = F.lit(None)
+    pairs = F.zip_with("words", F.slice("words", 2, F.size("words")), lambda a, b: piece(none.cast("binary"), a, b))
+    units = F.concat(F.array(piece(F.col("digest"), none.cast("string"), none.cast("string"))), pairs)
+    rows = lines.select(*keys, F.explode(units).alias("u")).select(*keys, "u.digest", "u.a", "u.b")
     narrow = []
     for j, seed in enumerate(SEEDS):
-        rows = rows.withColumn(f"h{j}", F.when(F.col("piece").isNotNull(), F.xxhash64(F.lit(seed), F.rtrim("piece"))).otherwise(F.lit(0)))
+        rows = rows.withColumn(f"h{j}", F.when(F.col("a").isNotNull(), F.xxhash64(F.lit(seed), "a", "b")).otherwise(F.lit(0)))
         narrow += [F.sum(F.shiftrightunsigned(f"h{j}", s).bitwiseAND(F.lit(TWO_BITS))).alias(f"n{j}_{s}") for s in range(SHIFTS)]
     wide = [F.sum(F.conv(F.hex(F.substring("digest", 4 * i + 1, 4)), 16, 10).cast("bigint")).alias(f"w{i}") for i in range(WIDE)]
-    sums = rows.groupBy(*keys).agg(F.count("piece").alias("pieces"), *wide, *narrow)
+    sums = rows.groupBy(*keys).agg(F.count("a").alias("pieces"), *wide, *narrow)
     return sums.select(*keys, "pieces", F.array(*[_unsigned(F.col(f"w{i}")) for i in range(WIDE)]).alias("wide"),
                        F.array(*[F.col(f"n{j}_{s}") for j in range(len(SEEDS)) for s in range(SHIFTS)]).alias("narrow"))
 
