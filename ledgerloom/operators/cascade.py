@@ -9,7 +9,7 @@ from .. import tables
 from ..config import DEFAULT_CODES, EXTERNAL_TRANSFER, OWN_TRANSFER, CascadeParams
 from ..functions.text import has_internal_hint, merchant_text, payment_type
 from .filters import default_code, direction_ok, is_generic_category, is_vague_category
-from .rules import RuleBook, context_rule, match_rules_join
+from .rules import ContextBook, RuleBook, context_rule, match_rules_join
 
 
 def _pick(code, confidence, source, branch) -> Column:
@@ -100,14 +100,14 @@ def override(pick: Column, mapped: Column, confidence: Column, category: Column,
                   _pick(mapped, confidence, "mapping_override", "mapping_override")).otherwise(pick)
 
 
-def _tiers(tx, mapping, own_flag, params, rule_threshold, model_threshold, between):
+def _tiers(tx, mapping, own_flag, params, rule_threshold, model_threshold, between, context=None):
     category = F.nullif(F.col("provider_category"), F.lit(""))
     mapped, mapped_conf = F.col("mapped_code"), F.col("mapped_confidence")
     own = (F.col(own_flag) if own_flag
            else has_internal_hint(F.col("provider_category"), F.col("third_party")))
     step = (with_mapping(tx, mapping)
             .withColumn("_t", F.lower(F.coalesce("description", F.lit(""))))
-            .withColumn("_c", context_rule(F.col("_t"), category)))
+            .withColumn("_c", context_rule(F.col("_t"), category, context)))
     ctx = F.col("_c")
 
     def final(p):
@@ -132,17 +132,18 @@ def _tiers(tx, mapping, own_flag, params, rule_threshold, model_threshold, betwe
 
 
 def categorize_tiers(tx: DataFrame, mapping: DataFrame | None = None, own_flag: str | None = None,
-                     params: CascadeParams = CascadeParams()) -> DataFrame:
-    """CLS9: own transfer, contextual rules, model score if present, mapping, default.
+                     params: CascadeParams = CascadeParams(), context: ContextBook | None = None) -> DataFrame:
+    """CLS9: own transfer, contextual rules (``context``, or the seed), model score if present,
+    mapping, default.
 
     A model score comes as columns model_code and model_confidence.
     """
-    return _tiers(tx, mapping, own_flag, params, params.rule_threshold, params.model_threshold, [])
+    return _tiers(tx, mapping, own_flag, params, params.rule_threshold, params.model_threshold, [], context)
 
 
 def categorize_hybrid(tx: DataFrame, mapping: DataFrame | None = None,
                       own_flag: str | None = None,
-                      params: CascadeParams = CascadeParams()) -> DataFrame:
+                      params: CascadeParams = CascadeParams(), context: ContextBook | None = None) -> DataFrame:
     """CLS10: as CLS9 with the dictionary and reviewed answers between rules and model.
 
     Uses columns learned_code, learned_confidence (from ``learning.lookup_patterns``) and
@@ -156,7 +157,7 @@ def categorize_hybrid(tx: DataFrame, mapping: DataFrame | None = None,
         between.append((F.col("answer_code").isNotNull(), _pick(
             F.col("answer_code"), F.col("answer_confidence"), "review", "review"), True))
     return _tiers(tx, mapping, own_flag, params, params.hybrid_rule_threshold,
-                  params.hybrid_model_threshold, between)
+                  params.hybrid_model_threshold, between, context)
 
 
 def describe_codes(df: DataFrame, code: str = "code", text: str = "Unknown",

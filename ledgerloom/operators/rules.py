@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import tables
 from ..functions.text import UNICODE, let
+from .phrases import PhraseIndex
 
 MAX_KEYWORDS = 50_000
 FIELDS = ("seq", "keyword", "code", "confidence", "reason")
@@ -85,10 +86,9 @@ class RuleBook:
 
     def substring_match(self, text: Column) -> Column:
         """CLS2: struct of the first rule whose keyword occurs anywhere in the text."""
-        table = F.from_json(F.lit(json.dumps([self._entry(r) for r in self.rows])),
-                            f"array<{RESULT}>")
-        return let(F.lower(text), lambda t: F.try_element_at(
-            F.filter(table, lambda r: F.contains(t, r["keyword"])), F.lit(1)))
+        index = PhraseIndex([{**self._entry(r), "phrase": r["keyword"]} for r in self.rows], RESULT[:-1] + ",phrase:string>")
+        first = F.array_min(index.found(F.lower(text)))
+        return F.when(first.isNotNull(), F.struct(*[first[f].alias(f) for f in (*FIELDS, "pattern")]))
 
 
 def match_rules(df: DataFrame, book: RuleBook, text: str, prefix: str = "rule") -> DataFrame:
@@ -156,11 +156,6 @@ def _result(code, confidence, reason) -> Column:
                     F.lit(reason).alias("reason"))
 
 
-def _contains(t: Column, phrases) -> Column:
-    anchored = ["^" + re.escape(p[1:]) if p.startswith("^") else re.escape(p) for p in phrases]
-    return t.rlike("|".join(anchored))
-
-
 def trusted_hint(category: Column) -> Column:
     """CLS6: struct for the provider categories that are trusted as they are."""
     out = None
@@ -170,35 +165,90 @@ def trusted_hint(category: Column) -> Column:
     return out
 
 
-def context_rule(text: Column, category: Column) -> Column:
-    """CLS5: struct(code, confidence, reason) from the contextual rules; code UNKNOWN if none.
+# What a phrase of a contextual rule must be in the text: part of it, its beginning, or whole words.
+KINDS = ("in", "start", "word")
+CONTEXT_SCHEMA = ("seq int, needs array<array<struct<kind:string,phrase:string>>>, never array<struct<kind:string,phrase:string>>, "
+                  "code string, confidence double, reason string")
+
 
-    ``text`` must be lower case. Branches are tried in order and stop at the first hit.
+class ContextBook:
+    """CLS5 rules as a constant: dicts with the columns of ``CONTEXT_SCHEMA``. A rule holds if each of
+    its ``needs`` lists has a phrase in the text and ``never`` has none; the least ``seq`` wins.
+    Rules need at least one ``needs`` list that is not empty, and phrases in lower case.
+
+    One pass over the text finds all phrases of all rules (``PhraseIndex``). A rule is looked at
+    only where a phrase of its shortest list was found, so most rows look at no rule at all.
     """
-    out = None
-    for start, any_of, also, never, code, confidence, reason in tables.CONTEXT_RULES:
-        hit = F.lit(True)
-        for phrases in (start, any_of, also):
-            if phrases:
-                hit = hit & _contains(text, phrases)
-        if never:
-            hit = hit & ~_contains(text, never)
-        value = _result(code, confidence, reason)
-        out = F.when(hit, value) if out is None else out.when(hit, value)
-    for phrases, code, confidence, what in tables.CONTEXT_WORDS:
-        out = out.when(_contains(text, phrases),
-                       _result(code, confidence, f"Matched {what} from description"))
-    utility = UNICODE + r"\b(?:%s)\b" % "|".join(tables.UTILITY_WORDS)
-    out = out.when(text.rlike(utility), _result(*tables.UTILITY_RESULT))
-    return out.otherwise(F.coalesce(trusted_hint(category),
-                                    _result("UNKNOWN", 0.5, "No confident pattern match")))
+
+    def __init__(self, rows):
+        self.rows = sorted(({**r, "needs": [n for n in r["needs"] if n]} for r in rows), key=lambda r: r["seq"])
+        bad = [r["seq"] for r in self.rows if not r["needs"] or any(k not in KINDS or not p for n in (*r["needs"], r["never"]) for k, p in n)]
+        if bad or len({r["seq"] for r in self.rows}) < len(self.rows):
+            raise ValueError(f"rules without a phrase, with an unknown kind or with equal numbers: {bad[:5]}")
+        if len(self.rows) > MAX_KEYWORDS:
+            raise ValueError(f"more than {MAX_KEYWORDS} contextual rules do not fit a plan constant")
+
+    @classmethod
+    def seed(cls) -> "ContextBook":
+        kinds = lambda phrases: [("start", p[1:]) if p.startswith("^") else ("in", p) for p in phrases]
+        rules = [([kinds(x) for x in (start, any_of, also)], kinds(never), *result)
+                 for start, any_of, also, never, *result in tables.CONTEXT_RULES]
+        rules += [([kinds(phrases)], [], code, confidence, f"Matched {what} from description") for phrases, code, confidence, what in tables.CONTEXT_WORDS]
+        rules.append(([[("word", w) for w in tables.UTILITY_WORDS]], [], *tables.UTILITY_RESULT))
+        return cls([dict(zip(("seq", "needs", "never", "code", "confidence", "reason"), (i, *r))) for i, r in enumerate(rules)])
+
+    @classmethod
+    def from_dataframe(cls, rules: DataFrame) -> "ContextBook":
+        """Read a rule table (``CONTEXT_SCHEMA``); only as many rows are fetched as a book may hold."""
+        pairs = lambda phrases: [(p["kind"], p["phrase"]) for p in phrases or []]
+        got = rules.select("seq", "needs", "never", "code", "confidence", "reason").limit(MAX_KEYWORDS + 1).collect()
+        return cls([{**r.asDict(), "needs": [pairs(n) for n in r["needs"]], "never": pairs(r["never"])} for r in got])
+
+    def to_dataframe(self, spark) -> DataFrame:
+        return spark.createDataFrame([tuple(r[c] for c in ("seq", "needs", "never", "code", "confidence", "reason")) for r in self.rows], CONTEXT_SCHEMA)
+
+    def match(self, text: Column) -> Column:
+        """struct(seq, code, confidence, reason) of the first rule that holds; ``text`` in lower case."""
+        ids: dict[tuple, int] = {}
+        number = lambda phrases: [ids.setdefault(tuple(p), len(ids)) for p in phrases]
+        rules, leads = [], {}
+        for at, r in enumerate(self.rows):
+            needs = sorted((number(n) for n in r["needs"]), key=len)
+            for i in needs[0]:
+                leads.setdefault(i, []).append(at + 1)
+            rules.append({"seq": r["seq"], "needs": needs[1:], "never": number(r["never"]), "code": r["code"], "confidence": r["confidence"], "reason": r["reason"]})
+        index = PhraseIndex([{"phrase": p, "id": i, "kind": k, "pattern": whole_word(p) if k == "word" else "", "leads": leads.get(i, [])}
+                             for (k, p), i in ids.items()], "struct<phrase:string,id:int,kind:string,pattern:string,leads:array<int>>")
+        table = F.from_json(F.lit(json.dumps(rules)), "array<struct<seq:int,needs:array<array<int>>,never:array<int>,code:string,confidence:double,reason:string>>")
+
+        def as_asked(t):
+            return F.filter(index.found(t), lambda e: F.when(e["kind"] == "start", F.startswith(t, e["phrase"]))
+                            .when(e["kind"] == "word", F.regexp_like(t, e["pattern"])).otherwise(True))
+
+        def look(found):
+            seen = F.transform(found, lambda e: e["id"])
+            near = F.array_distinct(F.flatten(F.transform(found, lambda e: e["leads"])))
+            hits = F.filter(F.transform(near, lambda i: F.element_at(table, i)),
+                            lambda r: F.forall(r["needs"], lambda n: F.arrays_overlap(n, seen)) & ~F.arrays_overlap(r["never"], seen))
+            return F.array_min(F.transform(hits, lambda r: F.struct(r["seq"].alias("seq"), r["code"].alias("code"),
+                                                                    r["confidence"].alias("confidence"), r["reason"].alias("reason"))))
+
+        return let(let(text, as_asked), look)
+
+
+def context_rule(text: Column, category: Column, book: ContextBook | None = None) -> Column:
+    """CLS5: struct(code, confidence, reason) from the contextual rules (``book``, or the seed), else
+    from trusted provider categories; code UNKNOWN if none. ``text`` must be lower case."""
+    hit = (book or ContextBook.seed()).match(text)
+    other = F.coalesce(trusted_hint(category), _result("UNKNOWN", 0.5, "No confident pattern match"))
+    return let(hit, lambda m: F.when(m.isNotNull(), F.struct(*[m[f].alias(f) for f in ("code", "confidence", "reason")])).otherwise(other))
 
 
 def with_context(df: DataFrame, text: str = "description", category: str = "provider_category",
-                 prefix: str = "context") -> DataFrame:
+                 prefix: str = "context", book: ContextBook | None = None) -> DataFrame:
     """CLS5 as an operator."""
     m = (df.withColumn("_t", F.lower(F.coalesce(F.col(text), F.lit(""))))
-         .withColumn("_m", context_rule(F.col("_t"), F.col(category))))
+         .withColumn("_m", context_rule(F.col("_t"), F.col(category), book)))
     return m.withColumns({
         f"{prefix}_code": F.col("_m.code"), f"{prefix}_confidence": F.col("_m.confidence"),
         f"{prefix}_reason": F.col("_m.reason")}).drop("_m", "_t")
