@@ -117,6 +117,20 @@ def sources(tx: DataFrame, by: list[str] = CUSTOMER, code: str = "code") -> Data
                  F.max("tx_date").alias("last_date"), F.sum("cents").alias("total")))
 
 
+def stopped_merchants(tx: DataFrame, since: DataFrame, by: list[str] = CUSTOMER) -> DataFrame:
+    """SET3: merchants seen before a customer's own ``since`` date and not from then on.
+
+    ``since``: the columns ``by`` and ``since`` (date), one row each. Customers without a date have
+    no rows; undated rows and rows without a description count on neither side. One grouping by
+    customer and merchant, then a join with the dates; amounts are the caller's to filter.
+    """
+    named = tx.withColumn("merchant_key", merchant_key(F.col("description")))
+    last = (named.filter(F.col("merchant_key").isNotNull() & F.col("tx_date").isNotNull())
+            .groupBy(*by, "merchant_key").agg(F.max("tx_date").alias("last_date")))
+    dates = since.filter(F.col("since").isNotNull()).select(*by, "since")
+    return last.join(dates, by).filter(F.col("last_date") < F.col("since")).select(*by, "merchant_key", "last_date")
+
+
 def income_sources(tx: DataFrame, by: list[str] = CUSTOMER) -> DataFrame:
     """AGG6: number of distinct (category, merchant)."""
     return sources(tx, by).groupBy(*by).agg(F.count(F.lit(1)).alias("sources"))

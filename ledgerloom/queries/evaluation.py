@@ -8,7 +8,7 @@ from .. import tables
 from ..operators import cascade, classifier, evaluate, quality, series
 from ..operators.rules import RuleBook
 from .base import MAPPING_CTE, mapping, sql, transactions, values
-from .classify import CASCADE, ON_RAW, TAXONOMY, categorised
+from .classify import CASCADE, ON_RAW, RULE_M, TAXONOMY, categorised
 from .registry import query
 from .textual import MERCHANT
 
@@ -137,16 +137,55 @@ def dq1(spark, sf):
     return quality.unknown_codes(categorised(spark, sf), tables.taxonomy(spark))
 
 
-@query("jn11_codes_outside", sql("""SELECT DISTINCT code FROM tx WHERE code NOT IN (SELECT code FROM tax WHERE code < 'INC-010')""", TAXONOMY))
+@query("dq1_required_codes", sql("SELECT code FROM required WHERE code NOT IN (SELECT code FROM tx)", values("required", "code", [(c,) for c in tables.REQUIRED_CODES])))
+def dq1_required(spark, sf):
+    """The codes of the transactions as a taxonomy: which required ones it lacks."""
+    return quality.missing_required(transactions(spark, sf).select("code").distinct())
+
+
+# Every seventh transaction carries a code that no taxonomy has.
+def astray(code):
+    return F.when(F.col("seq") % 7 == 0, F.concat(code, F.lit("-X"))).otherwise(F.col(code))
+
+
+@query("jn11_codes_outside", sql("""SELECT DISTINCT CASE WHEN seq % 7 = 0 THEN code || '-X' ELSE code END AS code FROM tx
+  WHERE CASE WHEN seq % 7 = 0 THEN code || '-X' ELSE code END NOT IN (SELECT code FROM tax)""", TAXONOMY))
 def jn11(spark, sf):
-    part = tables.taxonomy(spark).filter("code < 'INC-010'")
-    return quality.unknown_codes(transactions(spark, sf), part).select("code")
+    return quality.unknown_codes(transactions(spark, sf).withColumn("code", astray("code")), tables.taxonomy(spark)).select("code")
 
 
-@query("set6_codes_difference", sql("""SELECT code FROM cls EXCEPT SELECT code FROM tax WHERE name NOT LIKE 'S%'""", *CASCADE, TAXONOMY))
+@query("set6_codes_difference", sql("""SELECT CASE WHEN tx.seq % 7 = 0 THEN cls.code || '-X' ELSE cls.code END AS code FROM cls JOIN tx USING (tx_id)
+  EXCEPT SELECT code FROM tax""", *CASCADE, TAXONOMY))
 def set6(spark, sf):
-    part = tables.taxonomy(spark).filter("name NOT LIKE 'S%'")
-    return quality.unknown_codes(categorised(spark, sf), part).select("code")
+    return quality.unknown_codes(categorised(spark, sf).withColumn("code", astray("code")), tables.taxonomy(spark)).select("code")
+
+
+@query("set3_own_windows", sql("""SELECT customer_id, m AS merchant_key, strftime(last_date, '%Y-%m-%d') AS last_date FROM
+  (SELECT customer_id, trim(lower(description)) AS m, max(tx_date) AS last_date FROM tx GROUP BY 1, 2)
+  JOIN (SELECT customer_id, max(tx_date) - 90 AS since FROM tx GROUP BY 1) USING (customer_id) WHERE last_date < since"""))
+def set3_own(spark, sf):
+    """Merchants that fell silent in the last 90 days of each customer's own history."""
+    tx = transactions(spark, sf)
+    since = tx.groupBy("customer_id").agg(F.date_sub(F.max("tx_date"), 90).alias("since"))
+    return series.stopped_merchants(tx, since).withColumn("last_date", F.date_format("last_date", "yyyy-MM-dd"))
+
+
+@query("dq2_must_not_probes", sql("""SELECT code, count(*) AS n, count(*) FILTER (hit) AS ok FROM (SELECT tx.code,
+  CASE WHEN seq % 3 = 0 THEN rm.code IS DISTINCT FROM tx.code WHEN seq % 3 = 1 THEN coalesce(rm.code = tx.code, false)
+  ELSE coalesce(rm.code = tx.code AND rm.code <> 'EXP-016', false) END AS hit FROM tx LEFT JOIN rm ON rm.text = description) GROUP BY 1""", ON_RAW))
+def dq2_not(spark, sf):
+    """A third of the cases must not give their code, a third must, a third must and not be EXP-016."""
+    turn = F.col("seq") % 3
+    cases = transactions(spark, sf).select(
+        "code", F.col("description").alias("text"), F.when(turn > 0, F.col("code")).alias("must_be"),
+        F.when(turn == 0, F.col("code")).when(turn == 2, F.lit("EXP-016")).alias("must_not_be"))
+    return quality.rule_probes(cases, RuleBook.seed()).groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.count_if("ok").alias("ok"))
+
+
+@query("dq5_normaliser_codes", sql("SELECT tx_id, rm.code AS code FROM m3 LEFT JOIN rm ON rm.text = merchant", *MERCHANT, RULE_M))
+def dq5_codes(spark, sf):
+    cases = transactions(spark, sf).select("tx_id", F.col("description").alias("text"), F.lit("").alias("gone"), F.lit("").alias("kept"))
+    return quality.normaliser_probes(cases, RuleBook.seed()).select("tx_id", "code")
 
 
 @query("set3_stopped_merchants", sql("""SELECT customer_id, m FROM (SELECT customer_id, trim(lower(description)) AS m FROM tx
