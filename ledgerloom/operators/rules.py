@@ -87,8 +87,7 @@ class RuleBook:
     def substring_match(self, text: Column) -> Column:
         """CLS2: struct of the first rule whose keyword occurs anywhere in the text."""
         index = PhraseIndex([{**self._entry(r), "phrase": r["keyword"]} for r in self.rows], RESULT[:-1] + ",phrase:string>")
-        first = F.array_min(index.found(F.lower(text)))
-        return F.when(first.isNotNull(), F.struct(*[first[f].alias(f) for f in (*FIELDS, "pattern")]))
+        return F.array_min(index.found(F.lower(text)))
 
 
 def match_rules(df: DataFrame, book: RuleBook, text: str, prefix: str = "rule") -> DataFrame:

@@ -8,10 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import tables
-from ledgerloom.operators import cascade, rules
+from ledgerloom.operators import cascade, phrases as index_of, rules
 from ledgerloom.operators.phrases import PhraseIndex
 from ledgerloom.operators.rules import ContextBook, RuleBook
 
+@pytest.fixture(params=["scan", "look up"])
+def way(request, monkeypatch):
+    monkeypatch.setattr(index_of, "SCAN", 10_000 if request.param == "scan" else 0)
+
+
 ALPHABET = "ab cé😀.*^"
 
 
@@ -19,7 +24,7 @@ def texts_of(rnd, n, longest=25):
     return ["".join(rnd.choice(ALPHABET) for _ in range(rnd.randint(0, longest))) for _ in range(n)]
 
 
-def test_index_finds_what_a_scan_finds(spark):
+def test_index_finds_what_a_scan_finds(spark, way):
     rnd = random.Random(5)
     phrases = ["", "a", "é", "😀", "ab", "aaa", "a.*", "^ab", *{t for t in texts_of(rnd, 300, 6)}]
     index = PhraseIndex([{"phrase": p, "id": i} for i, p in enumerate(phrases)], "struct<phrase:string,id:int>")
@@ -30,7 +35,7 @@ def test_index_finds_what_a_scan_finds(spark):
         assert (r.ids and sorted(r.ids)) == want or r.ids == want == []
 
 
-def test_substring_rules_equal_a_scan(spark):
+def test_substring_rules_equal_a_scan(spark, way):
     rnd = random.Random(6)
     words = [w for w in texts_of(rnd, 200, 5) if re.search(r"\w", w)]
     rows = [(i, w, f"C{i}", 0.5, "r") for i, w in enumerate(words)]
@@ -53,7 +58,7 @@ def scan(rows, text):
     return "UNKNOWN", 0.5, "No confident pattern match"
 
 
-def test_contextual_rules_equal_a_scan(spark):
+def test_contextual_rules_equal_a_scan(spark, way):
     book = ContextBook.seed()
     phrases = sorted({p for r in book.rows for n in (*r["needs"], r["never"]) for _, p in n})
     rnd = random.Random(7)
@@ -64,7 +69,7 @@ def test_contextual_rules_equal_a_scan(spark):
         assert [got[i] for i in range(len(texts))] == [scan(book.rows, t) for t in texts]
 
 
-def test_rules_of_the_caller_decide(spark):
+def test_rules_of_the_caller_decide(spark, way):
     book = ContextBook([{"seq": 4, "needs": [[("in", "tea")], []], "never": [("word", "steam")], "code": "EXP-001", "confidence": 0.99, "reason": "tea"},
                         {"seq": 2, "needs": [[("in", "tea"), ("in", "pot")], [("start", "shop")]], "never": [], "code": "EXP-002", "confidence": 0.99, "reason": "pot"}])
     rows = [("1", "SHOP TEA", -1, None, None), ("2", "TEA", -1, None, None), ("3", "STEAM", -1, None, None), ("4", "WOOLWORTHS", -1, None, None), ("5", None, -1, None, None)]
