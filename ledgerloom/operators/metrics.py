@@ -1,6 +1,8 @@
 """The 46 customer metrics (MET0 and its parts) for all customers in one job.
 
-Three grouped passes, each with map-side combining before its shuffle:
+The transactions are read once, into partial sums per customer, day, category and source
+(``partials``), combined map-side before the shuffle. Partial sums add up (``merge``): they can be
+kept, new files add theirs, and the metrics at any date follow from them alone. From there on:
 
 1. (customer, day): one row per customer and day, whatever the number of transactions. The
    reporting window, months and run lengths work on this small table.
@@ -22,6 +24,7 @@ from ..functions.values import cents_to_money, half_up_div
 from .series import (frequency, is_secure, is_stable, mean_money, median_money, month,
                      run_columns, run_length)
 from .skew import attach
+from .stage import written
 
 REQUIRED = ["customer_id", "tx_id", "tx_date", "description", "cents", "code"]
 
@@ -57,32 +60,67 @@ def _in(codes) -> Column:
     return F.coalesce(F.col("code").isin(*codes), F.lit(False))
 
 
-def _series(p: MetricParams) -> dict[str, Column]:
-    """Row conditions of the money series."""
-    debit, credit, k = F.col("cents") < 0, F.col("cents") > 0, tables.CLASSES
+# -- partial sums --------------------------------------------------------------------
+
+SOURCE = ["customer_id", "tx_date", "code", "merchant"]
+SUMS = ["debit_c", "debit_n", "credit_c", "credit_n", "n"]
+PARTIAL_SCHEMA = "customer_id bigint, tx_date date, code string, merchant string, " + ", ".join(f"{c} bigint" for c in SUMS)
+
+
+def _lends(p: MetricParams) -> Column:
+    return _in((*tables.CLASSES["lender_categories"], *p.small_loans))
+
+
+def partials(tx: DataFrame, params: MetricParams = MetricParams()) -> DataFrame:
+    """Cents and rows of debits and credits, and all rows, per customer, day, category and source.
+
+    Only credits, salary, lenders and small loans keep their merchant; the other rows of a category
+    and day are one. The result serves all parameters that name the same salary and small loan codes.
+    """
+    tx, cents = prepare(tx), F.col("cents")
+    sourced = (cents > 0) | _in(params.salary) | ((cents < 0) & _lends(params))
+    return tx.groupBy("customer_id", "tx_date", "code", F.when(sourced, merchant_key(F.col("description"))).alias("merchant")).agg(
+        F.sum(F.when(cents < 0, -cents)).alias("debit_c"), F.count_if(cents < 0).alias("debit_n"),
+        F.sum(F.when(cents > 0, cents)).alias("credit_c"), F.count_if(cents > 0).alias("credit_n"),
+        F.count(F.lit(1)).alias("n"))
+
+
+def merge(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """Partial sums of several sets of transactions as those of their union."""
+    for other in others:
+        first = first.unionByName(other)
+    return first.groupBy(*SOURCE).agg(*[F.sum(c).alias(c) for c in SUMS])
+
+
+def _series(p: MetricParams) -> dict[str, tuple[str, Column]]:
+    """The money series: debits or credits of which categories."""
+    k, every = tables.CLASSES, F.lit(True)
     return {
-        "nondisc": debit & _in(k["non_discretionary"]), "disc": debit & _in(k["discretionary"]),
-        "other": debit & _in(k["other_expenses"]), "debit": debit,
-        "free": debit & ~_in(k["liabilities"]), "credit": credit,
-        "salary": credit & _in(p.salary), "side": credit & _in(p.other_income),
-        "income": credit & _in(p.income), "youth": credit & _in(p.youth),
-        "rental": credit & _in(p.rental), "benefit": credit & _in(p.benefits),
-        "lender": debit & _in(k["lender_categories"]), "mortgage": debit & _in(p.mortgage),
-        "atm": debit & _in(p.atm), "risky": debit & _in(p.high_risk),
+        "nondisc": ("debit", _in(k["non_discretionary"])), "disc": ("debit", _in(k["discretionary"])),
+        "other": ("debit", _in(k["other_expenses"])), "debit": ("debit", every),
+        "free": ("debit", ~_in(k["liabilities"])), "credit": ("credit", every),
+        "salary": ("credit", _in(p.salary)), "side": ("credit", _in(p.other_income)),
+        "income": ("credit", _in(p.income)), "youth": ("credit", _in(p.youth)),
+        "rental": ("credit", _in(p.rental)), "benefit": ("credit", _in(p.benefits)),
+        "lender": ("debit", _in(k["lender_categories"])), "mortgage": ("debit", _in(p.mortgage)),
+        "atm": ("debit", _in(p.atm)), "risky": ("debit", _in(p.high_risk)),
     }
 
 
-def daily(tx: DataFrame, p: MetricParams = MetricParams()) -> DataFrame:
+def _count(n: str, cond: Column) -> Column:
+    return F.coalesce(F.sum(F.when(cond, F.col(n))), F.lit(0).cast("bigint"))
+
+
+def daily(parts: DataFrame, p: MetricParams = MetricParams()) -> DataFrame:
     """Pass 1: cents and row counts of every series per customer and day."""
     aggs = []
-    for name, cond in _series(p).items():
-        aggs += [F.sum(F.when(cond, F.abs("cents"))).alias(f"{name}_c"),
-                 F.count_if(cond).alias(f"{name}_n")]
+    for name, (side, cond) in _series(p).items():
+        aggs += [F.sum(F.when(cond, F.col(f"{side}_c"))).alias(f"{name}_c"), _count(f"{side}_n", cond).alias(f"{name}_n")]
     for metric, code in FLAGS.items():
-        aggs.append(F.count_if(_in([code])).alias(metric))
-    aggs += [F.count_if((F.col("cents") < 0) & _in(tables.CLASSES["high_cost_lenders"])).alias("ME027"),
-             F.count_if(_in(p.dishonours)).alias("ME019")]
-    return tx.groupBy("customer_id", "tx_date").agg(*aggs)
+        aggs.append(_count("n", _in([code])).alias(metric))
+    aggs += [_count("debit_n", _in(tables.CLASSES["high_cost_lenders"])).alias("ME027"),
+             _count("n", _in(p.dishonours)).alias("ME019")]
+    return parts.groupBy("customer_id", "tx_date").agg(*aggs)
 
 
 def _windowed(days: DataFrame, p: MetricParams) -> DataFrame:
@@ -92,9 +130,9 @@ def _windowed(days: DataFrame, p: MetricParams) -> DataFrame:
         F.col("tx_date") >= F.date_sub(end, p.period_days), F.lit(False)))
 
 
-def _base(tx: DataFrame, p: MetricParams) -> DataFrame:
+def _base(parts: DataFrame, p: MetricParams) -> DataFrame:
     """All metrics that need only days and months."""
-    days = _windowed(daily(tx, p), p)
+    days = _windowed(daily(parts, p), p)
     names = list(_series(p))
     counts = [*FLAGS, "ME027", "ME019"]
     keep = F.col("_in")
@@ -146,18 +184,15 @@ def _base(tx: DataFrame, p: MetricParams) -> DataFrame:
         F.when(rhythm.isNotNull(), mean("mortgage")).otherwise(F.lit(0.0)).alias("ME048"))
 
 
-def _source_rows(tx: DataFrame, p: MetricParams) -> DataFrame:
-    wanted = ((F.col("cents") > 0) | _in(p.salary)
-              | ((F.col("cents") < 0) & _in((*tables.CLASSES["lender_categories"], *p.small_loans))))
-    return tx.filter(F.col("tx_date").isNotNull() & wanted).select(
-        "customer_id", "tx_id", "tx_date", "cents", "code",
-        merchant_key(F.col("description")).alias("merchant"))
+def _source_rows(parts: DataFrame, p: MetricParams) -> DataFrame:
+    wanted = (F.col("credit_n") > 0) | _in(p.salary) | ((F.col("debit_n") > 0) & _lends(p))
+    return parts.filter(F.col("tx_date").isNotNull() & wanted)
 
 
-def _ends(tx: DataFrame, p: MetricParams) -> DataFrame:
+def _ends(parts: DataFrame, p: MetricParams) -> DataFrame:
     """Window end, newest credit and newest salary in the window, per customer."""
-    days = (tx.filter(F.col("tx_date").isNotNull()).groupBy("customer_id", "tx_date")
-            .agg(F.max(F.col("cents") > 0).alias("credit"), F.max(_in(p.salary)).alias("salary"),
+    days = (parts.filter(F.col("tx_date").isNotNull()).groupBy("customer_id", "tx_date")
+            .agg(F.max(F.col("credit_n") > 0).alias("credit"), F.max(_in(p.salary)).alias("salary"),
                  F.count(F.lit(1)).alias("_n")))
     w = _windowed(days, p)
     return w.groupBy("customer_id").agg(
@@ -166,23 +201,24 @@ def _ends(tx: DataFrame, p: MetricParams) -> DataFrame:
         F.max(F.when(F.col("_in") & F.col("salary"), F.col("tx_date"))).alias("end_salary"))
 
 
-def _sources(tx: DataFrame, p: MetricParams) -> DataFrame:
+def _sources(parts: DataFrame, p: MetricParams) -> DataFrame:
     """Pass 2: metrics over (category, merchant) sources."""
-    ends = _ends(tx, p)
-    rows = (attach(_source_rows(tx, p), ends.drop("_n"), ["customer_id"], ["tx_id"], counts=ends)
+    ends = _ends(parts, p)
+    rows = (attach(_source_rows(parts, p), ends.drop("_n"), ["customer_id"], ["tx_date", "code", "merchant"], counts=ends)
             .filter(F.col("tx_date") >= F.date_sub("end", p.period_days)))
-    lend = (F.col("cents") < 0) & _in(tables.CLASSES["lender_categories"])
-    credit, salary, d = F.col("cents") > 0, _in(p.salary), F.col("tx_date")
+    d = F.col("tx_date")
+    lend, salary = _in(tables.CLASSES["lender_categories"]), _in(p.salary)
     ends_cols = [F.max(c).alias(c) for c in ("end", "end_credit", "end_salary")]
 
-    def span(name, cond):
-        return [F.count_if(cond).alias(f"{name}_n"), F.min(F.when(cond, d)).alias(f"{name}_first"),
-                F.max(F.when(cond, d)).alias(f"{name}_last")]
+    def span(name, n, cond):
+        met = cond & (F.col(n) > 0)
+        return [_count(n, cond).alias(f"{name}_n"), F.min(F.when(met, d)).alias(f"{name}_first"),
+                F.max(F.when(met, d)).alias(f"{name}_last")]
 
     by_month = rows.groupBy("customer_id", "code", "merchant", month(d).alias("month")).agg(
-        *span("credit", credit), *span("lend", lend), *span("salary", salary),
-        F.count_if((F.col("cents") < 0) & _in(p.small_loans)).alias("small_n"),
-        F.sum(F.when(lend, F.abs("cents"))).alias("lend_c"), *ends_cols)
+        *span("credit", "credit_n", F.lit(True)), *span("lend", "debit_n", lend), *span("salary", "n", salary),
+        _count("debit_n", _in(p.small_loans)).alias("small_n"),
+        F.sum(F.when(lend, F.col("debit_c"))).alias("lend_c"), *ends_cols)
 
     def merged(name):
         return [F.sum(f"{name}_n").alias(f"{name}_n"), F.min(f"{name}_first").alias(f"{name}_first"),
@@ -229,11 +265,20 @@ def customer_metrics(tx: DataFrame, accounts: DataFrame | None = None,
     """MET0: one row per customer, metrics in id order.
 
     ``tx`` needs REQUIRED columns; ``cents`` is signed. ``accounts`` is the optional side table
-    (customer_id, credit_card_limits, credit_card_balances, has_mortgage_account).
-    ``tx`` is read three times; give it a written table, not an expensive plan.
+    (customer_id, credit_card_limits, credit_card_balances, has_mortgage_account). ``tx`` is
+    read once where the session names a shared folder for the partial sums between.
     """
-    tx = prepare(tx)
-    out = _base(tx, params).join(_sources(tx, params), "customer_id", "left")
+    return metrics_at(written(partials(tx, params)), None, accounts, params, calculated_at)
+
+
+def metrics_at(parts: DataFrame, as_of=None, accounts: DataFrame | None = None, params: MetricParams = MetricParams(),
+               calculated_at: str | None = None) -> DataFrame:
+    """MET0 from partial sums, without the transactions. With ``as_of`` (a date or its text) what is
+    dated later is left out, as if it had not come yet; customers known only from then on have no row,
+    undated rows stay."""
+    if as_of is not None:
+        parts = parts.filter(F.coalesce(F.col("tx_date") <= F.lit(as_of).cast("date"), F.lit(True)))
+    out = _base(parts, params).join(_sources(parts, params), "customer_id", "left")
     if accounts is None:
         out = out.withColumns({"ME010": F.lit(None).cast("double"),
                                "ME011": F.lit(None).cast("double")})

@@ -37,9 +37,9 @@ def categorise_card(card: DataFrame, mapping: DataFrame | None = None, patterns:
 
 def customer_metrics(tx: DataFrame, rules: RuleBook | DataFrame | None = None, mapping: DataFrame | None = None,
                      accounts: DataFrame | None = None, params: MetricParams = MetricParams()) -> DataFrame:
-    """Categorise, write, then all metrics of all customers."""
+    """Categorise, write the partial sums, then all metrics of all customers."""
     categorised = cascade.categorize(tx, rules, None, mapping).select(*metrics.REQUIRED)
-    return metrics.customer_metrics(written(categorised), accounts, params)
+    return metrics.customer_metrics(categorised, accounts, params)
 
 
 def labelled_dataset(api: DataFrame, records: DataFrame, groups: DataFrame, runs: DataFrame,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import tables
 from ..config import MetricParams
 from ..operators import filters, metrics, series
+from ..operators.stage import written
 from .base import literal, sql, transactions
 from .registry import query
 
@@ -335,6 +336,20 @@ def met0(spark, sf):
     return all_metrics(spark, sf, accounts(spark, sf))
 
 
+AS_OF = "2024-10-20"
+
+
+@query("met0_as_of", "SELECT * REPLACE (CAST(ME010 AS DOUBLE) AS ME010, CAST(ME011 AS DOUBLE) AS ME011) FROM ("
+       + MET0.replace("UNION ALL SELECT * FROM acc)", f"UNION ALL SELECT * FROM acc), tx AS (SELECT * FROM every_tx WHERE tx_date <= DATE '{AS_OF}')")
+       .replace("tx AS (SELECT * FROM ev ", "every_tx AS (SELECT * FROM ev ") + ")")
+def met0_as_of(spark, sf):
+    """The metrics as they stood at an earlier day, from partial sums of two sets of transactions added up."""
+    tx = transactions(spark, sf)
+    half = F.pmod(F.xxhash64("tx_id"), F.lit(2)) == 0
+    parts = metrics.merge(metrics.partials(tx.filter(half), P), metrics.partials(tx.filter(~half), P))
+    return metrics.metrics_at(written(parts), AS_OF, accounts(spark, sf), P, "fixed")
+
+
 @query("agg21_portfolio", f"""SELECT count(*) AS customers, CAST(sum(CAST(round(ME033 * 100) AS BIGINT)) AS BIGINT) AS salary_cents,
   CAST(sum(CAST(round(ME034 * 100) AS BIGINT)) AS BIGINT) AS outgoing_cents,
   count(*) FILTER (ME017 > 0) AS with_small_loans, count(*) FILTER (ME019 > 0) AS with_dishonours,

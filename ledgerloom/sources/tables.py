@@ -1,14 +1,16 @@
-"""Dimension tables from files, and dictionary snapshots (SRC12, LRN11)."""
+"""Dimension tables from files, dictionary snapshots and kept partial sums (SRC12, LRN11, MET0)."""
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.learning import PATTERN_SCHEMA
+from ..operators.metrics import PARTIAL_SCHEMA, merge
 
 RULE_SCHEMA = "seq int, rule_seq int, keyword string, code string, confidence double, reason string"
 
@@ -99,6 +101,49 @@ def snapshot_metadata(spark: SparkSession, folder: str) -> DataFrame:
         F.max("last_used").alias("last_used"))
 
 
+def write_partials(parts: DataFrame, folder: str, batch: str) -> bool:
+    """MET0: adds the partial sums of one batch of transactions, unless the batch is there already.
+
+    The rows go to a folder of their own; a marker written last, never over another, makes them
+    count. A writer that dies before leaves nothing that is read, and a batch that comes again adds
+    nothing. What was added before is neither read nor written.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9_-]+", batch):
+        raise ValueError(f"batch name {batch!r} is not made of letters, digits, _ and -")
+    spark, root = parts.sparkSession, folder.rstrip("/")
+    system, at = _hadoop(spark, f"{root}/done/{batch}.txt")
+    if system.exists(at):
+        if _finished(spark, f"{root}/done/{batch}.txt"):
+            return False
+        system.delete(at, False)
+    path = f"data/{uuid.uuid4().hex}"
+    parts.write.mode("errorifexists").parquet(f"{root}/{path}")
+    out = system.create(at, False)
+    try:
+        out.write(bytearray(path, "utf-8"))
+    finally:
+        out.close()
+    return True
+
+
+def _finished(spark: SparkSession, markers: str) -> list[str]:
+    named = spark.read.text(markers).filter(F.col("value").rlike("^data/[0-9a-f]{32}$"))
+    return sorted(r.value for r in named.collect())
+
+
+def read_partials(spark: SparkSession, folder: str) -> DataFrame:
+    """MET0: the partial sums of all batches of a folder added up; no rows if there are none. A
+    marker that was cut off names no folder and counts as absent, so its batch is taken again."""
+    root = folder.rstrip("/")
+    system, at = _hadoop(spark, f"{root}/done/*.txt")
+    if not system.globStatus(at):
+        return spark.createDataFrame([], PARTIAL_SCHEMA)
+    paths = [f"{root}/{p}" for p in _finished(spark, f"{root}/done")]
+    if not paths:
+        return spark.createDataFrame([], PARTIAL_SCHEMA)
+    return merge(spark.read.parquet(*paths))
+
+
 def _hadoop(spark: SparkSession, path: str):
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at

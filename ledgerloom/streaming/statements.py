@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor
 
-from ..operators import cascade, learning, series
+from ..config import MetricParams
+from ..operators import cascade, learning, metrics, series
 from ..operators.rules import RuleBook
-from ..sources.tables import committed, read_patterns, write_patterns
+from ..sources.tables import committed, read_patterns, write_partials, write_patterns
 
 # Setting and value for streams with state of their own.
 ROCKSDB = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
@@ -65,6 +66,18 @@ def learn_stream(reviewed: DataFrame, folder: str, checkpoint: str, stream: str
     return reviewed.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
 
 
+def partials_stream(categorised: DataFrame, folder: str, checkpoint: str, stream: str = "stream",
+                    params: MetricParams = MetricParams()) -> DataStreamWriter:
+    """MET0 on a stream: each micro-batch of categorised rows adds its partial sums to ``folder``, once however
+    often it comes; ``metrics.metrics_at(tables.read_partials(...))`` has the metrics of all that came.
+    ``stream`` names the stream among those that feed one folder."""
+
+    def add(batch: DataFrame, number: int) -> None:
+        write_partials(metrics.partials(batch, params), folder, f"{stream}-{number}")
+
+    return categorised.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+
+
 DAY_MS = 86_400_000
 CORRECTED = "customer_id bigint, tx_date date, kind string, version int, total bigint, rows bigint"
 
