@@ -9,6 +9,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .skew import attach
+
 
 def class_weights(samples: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """ML1: (label, label_index, weight): labels in alphabetical order, weight total / (K * count).
@@ -33,12 +35,14 @@ MAX_LABELS = 10_000
 
 def fit(train: DataFrame, features: int = 1 << 12, iterations: int = 20) -> PipelineModel:
     """ML2: words of the description, weighted by class, into a multinomial regression."""
-    # Labels are few, so the weights travel as a constant: no join on some seventy hot keys.
-    weights = class_weights(train).select("label", "weight").limit(MAX_LABELS + 1).collect()
-    if len(weights) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} labels")
-    table = F.create_map(*[F.lit(x) for r in weights if r["label"] is not None for x in (r["label"], float(r["weight"]))])
-    weighted = train.withColumn("weight", F.try_element_at(table, F.col("label"))).filter("weight is not null")
+    # Labels are few, so the weights travel as a constant: no join on some seventy hot keys. More labels are joined.
+    weights = class_weights(train).select("label", "weight")
+    few = weights.limit(MAX_LABELS + 1).collect()
+    if len(few) > MAX_LABELS:
+        weighted = attach(train, weights, ["label"], ["description"])
+    else:
+        table = F.create_map(*[F.lit(x) for r in few if r["label"] is not None for x in (r["label"], float(r["weight"]))])
+        weighted = train.withColumn("weight", F.try_element_at(table, F.col("label"))).filter("weight is not null")
     stages = [
         StringIndexer(inputCol="label", outputCol="label_idx", stringOrderType="alphabetAsc", handleInvalid="skip"),
         RegexTokenizer(inputCol="description", outputCol="tokens", pattern=r"[^\p{L}\p{N}]+", toLowercase=True),
