@@ -10,6 +10,7 @@ from ..config import DEFAULT_CODES, EXTERNAL_TRANSFER, OWN_TRANSFER, CascadePara
 from ..functions.text import has_internal_hint, merchant_text, payment_type
 from .filters import default_code, direction_ok, is_generic_category, is_vague_category
 from .rules import ContextBook, RuleBook, context_rule, match_rules_join
+from .stage import computed
 
 
 def _pick(code, confidence, source, branch) -> Column:
@@ -82,7 +83,8 @@ def categorize(tx: DataFrame, rules: RuleBook | DataFrame | None = None, income:
         .when(mapped_ok, _pick(F.col("mapped_code"), F.col("mapped_confidence"),
                                "mapping", "mapping"))
         .otherwise(default))
-    return (step.withColumn("_r", result)
+    # Filters on the result, as error reports and review queues have, must not repeat the matching.
+    return (computed(step, {"_r": result})
             .withColumns({
                 "direction_filtered": F.col("_rule").isNotNull() & ~F.col("_fits"),
                 "rule_low": F.col("_fits") & (F.col("_rule.confidence") < params.medium),
@@ -125,7 +127,7 @@ def _tiers(tx, mapping, own_flag, params, rule_threshold, model_threshold, betwe
     out = out.when(mapped.isNotNull() & category.isNotNull(),
                    _pick(mapped, mapped_conf, "mapping", "mapping"))
     out = out.otherwise(_pick(default_code(F.col("cents")), 0.3, "uncategorised", "uncategorised"))
-    return (step.withColumn("_r", out)
+    return (computed(step, {"_r": out})
             .withColumns({"code": F.col("_r.code"), "confidence": F.col("_r.confidence"),
                           "source": F.col("_r.source"), "branch": F.col("_r.branch")})
             .drop("_t", "_c", "_r", "mapped_code", "mapped_confidence"))
