@@ -14,7 +14,7 @@ from ..config import LearningParams
 from ..functions.text import merchant_pattern, parse_answer, pattern_variants
 from .filters import default_code
 from .skew import attach
-from .stage import written
+from .stage import computed, written
 
 PATTERN_SCHEMA = ("pattern string, category string, confidence double, source string, "
                   "learned_at string, usage_count bigint, last_used string, examples array<string>")
@@ -23,9 +23,10 @@ PATTERN_SCHEMA = ("pattern string, category string, confidence double, source st
 def lookup_patterns(tx: DataFrame, patterns: DataFrame, row_id: str = "tx_id") -> DataFrame:
     """LRN1: adds learned_pattern, learned_code, learned_confidence: full form, then first word.
 
-    The dictionary is asked once per distinct form; rows get the answer by a salted join.
+    The dictionary is asked once per distinct form; rows get the answer by a salted join. The forms
+    are worked out once and written with the rows, which are read for the forms and for the join.
     """
-    rows = tx.withColumn("_form", merchant_pattern(F.col("description")))
+    rows = written(computed(tx, {"_form": merchant_pattern(F.col("description"))}))
     forms = rows.groupBy("_form").agg(F.count(F.lit(1)).alias("_n"))
     asks = forms.select("_form", F.posexplode(pattern_variants(F.col("_form"))).alias("_rank", "pattern"))
     known = patterns.select("pattern", "category", "confidence")
@@ -46,14 +47,14 @@ def first_k(df: DataFrame, by: list[str], order: list[Column], k: int) -> DataFr
 def batch_patterns(batch: DataFrame, params: LearningParams = LearningParams(),
                    learned_at: str | None = None) -> DataFrame:
     """Patterns of one batch(seq, description, category, confidence, source)."""
-    good = (batch.filter(F.col("confidence") >= params.min_confidence)
-            .withColumn("pattern", merchant_pattern(F.col("description")))
-            .filter(F.col("pattern") != ""))
-    head = good.groupBy("pattern").agg(
-        F.min(F.struct("seq", "category", "source")).alias("_first"),
-        F.max("confidence").alias("confidence"))
-    texts = good.groupBy("pattern", "description").agg(F.min("seq").alias("seq"))
-    examples = (first_k(texts, ["pattern"], [F.asc("seq")], params.max_examples)
+    good = (computed(batch.filter(F.col("confidence") >= params.min_confidence),
+                     {"pattern": merchant_pattern(F.col("description"))}).filter(F.col("pattern") != ""))
+    # One pass over the batch: the head of a pattern and its examples both follow from its texts.
+    texts = written(good.groupBy("pattern", "description").agg(
+        F.min("seq").alias("seq"), F.min(F.struct("seq", "category", "source")).alias("_first"),
+        F.max("confidence").alias("confidence")))
+    head = texts.groupBy("pattern").agg(F.min("_first").alias("_first"), F.max("confidence").alias("confidence"))
+    examples = (first_k(texts.select("pattern", "description", "seq"), ["pattern"], [F.asc("seq")], params.max_examples)
                 .groupBy("pattern").agg(F.array_sort(F.collect_list(F.struct("seq", "description")))
                                         .alias("_ex")))
     at = F.lit(learned_at) if learned_at else F.date_format(
@@ -169,11 +170,12 @@ def similar_patterns(asked: DataFrame, patterns: DataFrame,
 def review_queue(categorised: DataFrame, patterns: DataFrame, branches=("uncategorised",),
                  similar: int = 3) -> DataFrame:
     """LRN6: one row per open merchant form, with its size, a hint and similar patterns."""
-    open_rows = (categorised.filter(F.col("branch").isin(*branches))
-                 .withColumn("form", merchant_pattern(F.col("description"))).filter(F.col("form") != ""))
-    queue = open_rows.groupBy("form").agg(
+    open_rows = computed(categorised.filter(F.col("branch").isin(*branches)),
+                         {"form": merchant_pattern(F.col("description"))}).filter(F.col("form") != "")
+    # Read for the similar patterns and again for the queue itself.
+    queue = written(open_rows.groupBy("form").agg(
         F.count(F.lit(1)).alias("n"), F.sum("cents").alias("cents"),
-        F.min("provider_category").alias("hint"), F.min("description").alias("example"))
+        F.min("provider_category").alias("hint"), F.min("description").alias("example")))
     near = (similar_patterns(queue.select("form"), patterns, similar)
             .groupBy("form").agg(F.array_sort(F.collect_list(F.struct(
                 "rank", "pattern", "category", F.try_element_at("examples", F.lit(1)).alias("example"))))
@@ -190,7 +192,7 @@ def medium_review(categorised: DataFrame) -> DataFrame:
 def read_answers(answers: DataFrame) -> DataFrame:
     """LRN7: answers(form, answer[, seq]) parsed, one row per form: the first usable answer by
     ``seq``, or without it the most confident; a form without a usable one has a null code."""
-    parsed = answers.withColumn("_a", parse_answer(F.col("answer")))
+    parsed = computed(answers, {"_a": parse_answer(F.col("answer"))})
     order = [F.col("seq")] if "seq" in answers.columns else [-F.col("_a.confidence")]
     best = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)],
                     F.col("_a.category").alias("answer_code"), F.col("_a.confidence").alias("answer_confidence"),
@@ -202,7 +204,8 @@ def read_answers(answers: DataFrame) -> DataFrame:
 def attach_answers(tx: DataFrame, answers: DataFrame, row_id: str = "tx_id") -> DataFrame:
     """LRN7: adds answer_code and answer_confidence; a failed answer gives the default by sign."""
     read = read_answers(answers).withColumn("_asked", F.lit(True))
-    rows = tx.withColumn("form", merchant_pattern(F.col("description")))
+    # Read to count the forms and for the join.
+    rows = written(computed(tx.drop("form"), {"form": merchant_pattern(F.col("description"))}))
     out = attach(rows, read, ["form"], [row_id], "left")
     return out.withColumns({
         "answer_code": F.when(F.col("_asked"), F.coalesce("answer_code", default_code(F.col("cents")))),
@@ -226,7 +229,7 @@ def resolve_medium(categorised: DataFrame, answers: DataFrame, row_id: str = "tx
 def learn_from_answers(patterns: DataFrame, answers: DataFrame,
                        params: LearningParams = LearningParams(), learned_at: str | None = None) -> DataFrame:
     """LRN7: usable answers(seq, description, answer) enter the dictionary."""
-    parsed = answers.withColumn("_a", parse_answer(F.col("answer"))).filter("_a IS NOT NULL")
+    parsed = computed(answers, {"_a": parse_answer(F.col("answer"))}).filter("_a IS NOT NULL")
     batch = parsed.select("seq", "description", F.col("_a.category").alias("category"),
                           F.col("_a.confidence").alias("confidence"), F.lit("review").alias("source"))
     return upsert_patterns(patterns, batch, params, learned_at)
