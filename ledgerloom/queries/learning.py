@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import cascade, learning
+from ..operators.stage import computed, written
 from .base import mapping, sql, table, transactions
 from .classify import CASCADE, DEFAULT, GENERIC, TIER, categorised, nulls_for, scored, tiers_sql
 from .registry import query
@@ -46,8 +47,8 @@ def dictionary(spark, sf):
     return learning.batch_patterns(batch(spark, sf, 3, "first"), learned_at=AT)
 
 
-def looked_up(spark, sf):
-    return learning.lookup_patterns(transactions(spark, sf), dictionary(spark, sf))
+def looked_up(spark, sf, known=None):
+    return learning.lookup_patterns(transactions(spark, sf), dictionary(spark, sf) if known is None else known)
 
 
 @query("lrn1_lookup", sql("SELECT tx_id, learned_pattern, learned_code, CAST(learned_confidence AS DOUBLE) AS learned_confidence FROM hit",
@@ -74,8 +75,15 @@ USED = """used AS (SELECT d1.pattern, d1.category, d1.confidence, coalesce(n, 0)
   (SELECT learned_pattern, count(*) AS n FROM hit WHERE learned_pattern IS NOT NULL GROUP BY 1) ON learned_pattern = d1.pattern)"""
 
 
+def used_and_hits(spark, sf):
+    """The dictionary with its usage, and the lookups it comes from; each is made once."""
+    known = written(dictionary(spark, sf))
+    hits = written(looked_up(spark, sf, known).select("tx_id", "learned_pattern"))
+    return learning.record_usage(known, hits, AT), hits
+
+
 def used(spark, sf):
-    return learning.record_usage(dictionary(spark, sf), looked_up(spark, sf), AT)
+    return used_and_hits(spark, sf)[0]
 
 
 @query("lrn3_usage", sql("""SELECT pattern, usage_count, CASE WHEN usage_count > 0 THEN '2025-01-01T00:00:00' END AS last_used
@@ -102,7 +110,7 @@ def lrn4(spark, sf):
   round(count(learned_pattern) * 100.0 / count(*), 2) AS hit_rate FROM hit""", *DICT, HIT, USED)
        .replace("count(*), 2)", "CAST(count(*) AS DOUBLE), 2)"))
 def lrn5(spark, sf):
-    return learning.dictionary_statistics(used(spark, sf), looked_up(spark, sf))
+    return learning.dictionary_statistics(*used_and_hits(spark, sf))
 
 
 @query("lrn5_distribution", sql("SELECT category, count(*) AS n FROM d1 GROUP BY 1", *DICT))
@@ -163,8 +171,8 @@ ANSWERS = """ans AS (SELECT form, CASE WHEN length(form) % 4 = 0 THEN NULL ELSE
 
 def answers(spark, sf):
     """Reviewed answers as text: plain JSON, fenced JSON and unusable ones."""
-    forms = (transactions(spark, sf)
-             .groupBy(T.merchant_pattern(F.col("description")).alias("form"))
+    forms = (computed(transactions(spark, sf), {"form": T.merchant_pattern(F.col("description"))})
+             .groupBy("form")
              .agg(F.min("seq").alias("seq"), F.min_by("description", "seq").alias("description"))
              .filter("form <> ''"))
     n = F.length("form")
