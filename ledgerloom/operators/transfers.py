@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import account_numbers, has_internal_hint, is_transfer_worded
 from .skew import attach
+from .stage import written
 
 OWN = ["customer_id", "account"]
 
@@ -127,7 +128,7 @@ def flag_own_transfers(tx: DataFrame, learn: bool = True, own: DataFrame | None
     asks = (~hint & is_transfer_worded(F.col("description"))
             & (F.size(account_numbers(F.col("description"))) > 0))
     candidates = tx.filter(asks)
-    named = _exploded(candidates, "tx_id")
+    named = written(_exploded(candidates, "tx_id"))
     hits = matching_accounts(named, own)
     ids = (attach(named, hits, OWN, ["tx_id"]).select("tx_id").distinct()
            .withColumn(column, F.lit(True)))
