@@ -43,27 +43,36 @@ def fuzzy_match(left: DataFrame, right: DataFrame, params: MatchParams = MatchPa
     """
     num, den = params.overlap_num, params.overlap_den
     lw = left.select("*", F.col("tx_date").alias("day"), word_set(F.col("description")).alias("words"))
-    counts = lw.filter(F.size("words") > 0).groupBy(*SIG).agg(F.count(F.lit(1)).alias("_n"))
+    counts = written(lw.filter(F.size("words") > 0).groupBy(*SIG).agg(F.count(F.lit(1)).alias("_n")))
     rw = right.select("customer_id", "seq", "ts", "cents", "code", "description",
                       whole_day(F.col("ts")).alias("near_day"), word_set(F.col("description")).alias("words"))
     best_right = F.min(F.struct(
         "seq", F.col("code").alias("match_code"), F.col("description").alias("match_description"),
         F.col("ts").alias("match_ts")))
     place = ["customer_id", "cents", "near_day"]
-    rsig = (rw.filter(F.size("words") > 0).groupBy(*place, "words").agg(best_right.alias("m"))
-            .withColumn("cents", F.explode(F.sequence(F.col("cents") - params.cents, F.col("cents") + params.cents))))
-    sig = counts.filter("_n > 0").withColumn("near_day", F.explode(F.sequence(
+    rsig = written(_need(rw.filter(F.size("words") > 0).groupBy(*place, "words").agg(best_right.alias("m")), num, den)
+                   .withColumnRenamed("cents", "r_cents"))
+    sig = _need(counts, num, den)
+    # Amounts and days are widened as bare keys, without words and matches: few rows meet another of
+    # the same customer, amount and days, and only those are taken apart. As they are read several
+    # times they are written where a shared folder exists.
+    lkey, rkey = ["customer_id", "cents", "day"], ["customer_id", "r_cents", "near_day"]
+    lplaces = _needed(sig, lkey, "l").withColumn("near_day", F.explode(F.sequence(
         F.date_sub("day", params.days), F.date_add("day", params.days))))
-    # Few rows meet another of the same customer, amount and days; only those are taken apart,
-    # and as they are read several times they are written where a shared folder exists.
-    near = written(_need(sig.join(rsig.select(*place).distinct(), place, "left_semi"), num, den))
-    rnear = written(_need(rsig.join(near.select(*place).distinct(), place, "left_semi"), num, den))
+    rplaces = _needed(rsig, rkey, "r").withColumn("cents", F.explode(F.sequence(
+        F.col("r_cents") - params.cents, F.col("r_cents") + params.cents)))
+    lplaces = written(lplaces.join(_any_needed(rplaces, place, "r"), place))
+    rplaces = rplaces.join(_any_needed(lplaces, place, "l"), place)
+    near = written(sig.join(lplaces.select(*lkey, "near_day", "r1", "r2"), lkey))
+    rnear = written(rsig.join(rplaces.select(*rkey, "cents", "l1", "l2"), rkey).drop("r_cents"))
     key = [*place, "k", "key"]
-    table = (rnear.withColumn("e", F.explode(_keys())).select("*", "e.*").filter(F.col("need") >= F.col("k"))
-             .groupBy(*key).agg(F.min("m").alias("any"), F.min(F.when(F.col("need") == F.col("k"), F.col("m"))).alias("own")))
-    asks = near.withColumn("e", F.explode(_keys())).select("*", "e.*").filter(F.col("need") >= F.col("k"))
+    just = F.col("need") == F.col("k")
+    # A row is the first of its own or of the longer ones, never sent as both.
+    table = (rnear.withColumn("e", F.explode(_keys("l"))).select("*", "e.*")
+             .groupBy(*key).agg(F.min(F.when(just, F.col("m"))).alias("own"), F.min(F.when(~just, F.col("m"))).alias("longer")))
+    asks = near.withColumn("e", F.explode(_keys("r"))).select("*", "e.*")
     found = asks.join(table, key).select(
-        *SIG, F.when(F.col("need") == F.col("k"), F.col("any")).otherwise(F.col("own")).alias("m"))
+        *SIG, F.when(just, F.least("own", "longer")).otherwise(F.col("own")).alias("m"))
     owners, big = _long_matches(near.filter(F.col("need") >= 3), rnear.filter(F.col("need") >= 3))
     big = owners.join(big, [*place, "shared", "need"]).select(*SIG, "m")
     best = (found.unionByName(big).filter(F.col("m").isNotNull())
@@ -113,10 +122,23 @@ def _long_matches(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFra
     return owners, met.groupBy(*place, F.col("l_shared").alias("shared"), F.col("l_need").alias("need")).agg(F.min("m").alias("m"))
 
 
-def _keys() -> Column:
-    """Single words as k = 1 and pairs of words as k = 2."""
+def _needed(rows: DataFrame, keys: list[str], side: str) -> DataFrame:
+    """Whether rows of a key need just one common word, and just two."""
+    return rows.groupBy(*keys).agg(*[F.max(F.col("need") == k).alias(f"{side}{k}") for k in (1, 2)])
+
+
+def _any_needed(places: DataFrame, place: list[str], side: str) -> DataFrame:
+    return places.groupBy(*place).agg(*[F.max(f"{side}{k}").alias(f"{side}{k}") for k in (1, 2)])
+
+
+def _keys(other: str) -> Column:
+    """Single words as k = 1 and pairs of words as k = 2, where they decide a match: if the row needs
+    just ``k``, or needs more and the ``other`` side has a row at its place that needs just ``k``."""
+    none = F.array().cast("array<struct<k:int,key:string>>")
+
     def tagged(c, k):
-        return F.transform(c, lambda x: F.struct(F.lit(k).alias("k"), x.alias("key")))
+        use = (F.col("need") == k) | ((F.col("need") > k) & F.col(f"{other}{k}"))
+        return F.when(use, F.transform(c, lambda x: F.struct(F.lit(k).alias("k"), x.alias("key")))).otherwise(none)
 
     return F.concat(tagged(F.col("words"), 1), tagged(_pairs(F.col("words")), 2))
 

@@ -79,3 +79,46 @@ def test_the_queue_of_open_merchants_is_made_once(spark, shared):
     assert "regexp_replace" not in plan(queue)
     assert [(r.form, r.n, r.cents, r.example, [s.pattern for s in r.similar]) for r in queue.collect()] == [
         ("odd shop", 2, -800, "ODD SHOP 77", ["odd shop"])]
+
+
+def test_statement_files_are_few(spark):
+    """A file for some dozen rows is a file for every user and more; their number made the folder slow."""
+    from ledgerloom.queries import ingest
+
+    docs = ingest.json_documents(spark, "/root/testdata/sf0.01", per_document=ingest.STATEMENT)
+    assert ingest.STATEMENT >= 100 * ingest.DOC
+    assert docs.count() * 20 < ingest.json_documents(spark, "/root/testdata/sf0.01").count()
+
+
+def test_short_and_long_texts_match_as_all_pairs_do(spark):
+    """Texts of 1 to 9 words at the same place, in every mix of needs; and single words and pairs are made only where they decide."""
+    import datetime as dt
+    import random
+
+    from ledgerloom.operators import matching
+
+    rng, vocabulary = random.Random(5), [f"w{i}" for i in range(12)]
+    text = lambda: " ".join(rng.sample(vocabulary, rng.choice([0, 1, 2, 3, 4, 5, 6, 7, 9])))
+    day = dt.date(2024, 7, 1)
+    left = [(f"t{i}", rng.choice([1, 2, None]), day + dt.timedelta(rng.randrange(6)), rng.randrange(4), text() or None) for i in range(300)]
+    right = [(rng.choice([1, 2, None]), rng.randrange(60), dt.datetime(2024, 7, 1 + rng.randrange(6), rng.choice([0, 5])), rng.randrange(4),
+              rng.choice(["A", "B"]), text()) for i in range(120)]
+    found = matching.fuzzy_match(
+        spark.createDataFrame(left, "tx_id string, customer_id long, tx_date date, cents long, description string"),
+        spark.createDataFrame(right, "customer_id long, seq long, ts timestamp_ntz, cents long, code string, description string"))
+    got = {r.tx_id: (r.match_seq, r.match_code, r.match_description) for r in found.collect()}
+
+    def first(c, d, cents, a):
+        hits = []
+        for rc, seq, ts, r_cents, code, b in right:
+            days = (dt.datetime.combine(d, dt.time()) - ts) // dt.timedelta(1)
+            x, y = set((a or "").split()), set(b.split())
+            if c is not None and c == rc and abs(cents - r_cents) <= 1 and abs(days) <= 2 and x and y and len(x & y) * 5 >= 2 * min(len(x), len(y)):
+                hits.append((seq, code, b))
+        return min(hits, default=(None, None, None))
+
+    assert got == {i: first(c, d, cents, a) for i, c, d, cents, a in left}
+    row = spark.createDataFrame([(["a", "b", "c", "d", "e", "f"], 3, False, True), (["a", "b"], 1, False, False), (["a", "b", "c"], 2, True, False)],
+                                "words array<string>, need int, l1 boolean, l2 boolean")
+    made = [sorted({e.k for e in r.e}) for r in row.select(matching._keys("l").alias("e")).collect()]
+    assert made == [[2], [1], [1, 2]]
