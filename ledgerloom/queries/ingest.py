@@ -20,6 +20,7 @@ from .registry import query
 from .shaping import day_text, money_text, seq
 
 DOC = 40  # rows per derived document
+STATEMENT = 4000  # rows per derived statement file: files are created, moved and listed one by one
 
 
 def scratch(spark) -> str:
@@ -63,13 +64,13 @@ def src1(spark, sf):
     return shown(statements.read_statement_csv(spark, path))
 
 
-def json_documents(spark, sf, wrapped=True):
+def json_documents(spark, sf, wrapped=True, per_document=DOC):
     """Some dozen rows per document, as an array or wrapped."""
     rows = provider_rows(spark, sf).withColumn("category_key", F.col("Category"))
     item = F.struct("accountType", "accountNumber", "date", "description", "amount", F.col("Balance").alias("balance"),
                     F.when(seq() % 2 == 0, F.col("Category")).alias("category"),
                     F.when(seq() % 2 == 1, F.col("category_key")).alias("Category_"), (seq() % 4 == 0).alias("pending"))
-    docs = rows.groupBy(F.floor(seq() / DOC).alias("doc_id")).agg(F.collect_list(item).alias("items"))
+    docs = rows.groupBy(F.floor(seq() / per_document).alias("doc_id")).agg(F.collect_list(item).alias("items"))
     text = F.when(F.col("doc_id") % 2 == 0, F.to_json("items")).otherwise(
         F.to_json(F.struct(F.col("items").alias("transactions"))))
     return docs.select("doc_id", F.regexp_replace(text, '"Category_"', '"Category"').alias("value"))
@@ -85,7 +86,7 @@ def src2(spark, sf):
 def src3(spark, sf):
     root = scratch(spark)
     sinks.write_csv(provider_rows(spark, sf).drop("seq"), root + "/a")
-    docs = json_documents(spark, sf)
+    docs = json_documents(spark, sf, per_document=STATEMENT)
     # The text writer gives one file per partition folder, that is one document per file; one more is
     # broken, and one more CSV file has other columns and no rows.
     docs.unionByName(spark.createDataFrame([(-1, '{"transactions": [')], "doc_id bigint, value string")).write.partitionBy("doc_id").text(root + "/text")
