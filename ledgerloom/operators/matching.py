@@ -43,28 +43,26 @@ def fuzzy_match(left: DataFrame, right: DataFrame, params: MatchParams = MatchPa
     """
     num, den = params.overlap_num, params.overlap_den
     lw = left.select("*", F.col("tx_date").alias("day"), word_set(F.col("description")).alias("words"))
-    counts = written(lw.filter(F.size("words") > 0).groupBy(*SIG).agg(F.count(F.lit(1)).alias("_n")))
+    counts = lw.filter(F.size("words") > 0).groupBy(*SIG).agg(F.count(F.lit(1)).alias("_n"))
     rw = right.select("customer_id", "seq", "ts", "cents", "code", "description",
                       whole_day(F.col("ts")).alias("near_day"), word_set(F.col("description")).alias("words"))
     best_right = F.min(F.struct(
         "seq", F.col("code").alias("match_code"), F.col("description").alias("match_description"),
         F.col("ts").alias("match_ts")))
     place = ["customer_id", "cents", "near_day"]
-    rsig = written(_need(rw.filter(F.size("words") > 0).groupBy(*place, "words").agg(best_right.alias("m")), num, den)
-                   .withColumnRenamed("cents", "r_cents"))
-    sig = _need(counts, num, den)
+    rrows = _need(rw.filter(F.size("words") > 0), num, den).withColumnRenamed("cents", "r_cents")
     # Amounts and days are widened as bare keys, without words and matches: few rows meet another of
     # the same customer, amount and days, and only those are taken apart. As they are read several
     # times they are written where a shared folder exists.
     lkey, rkey = ["customer_id", "cents", "day"], ["customer_id", "r_cents", "near_day"]
-    lplaces = _needed(sig, lkey, "l").withColumn("near_day", F.explode(F.sequence(
+    lplaces = lw.filter(F.size("words") > 0).select(*lkey).distinct().withColumn("near_day", F.explode(F.sequence(
         F.date_sub("day", params.days), F.date_add("day", params.days))))
-    rplaces = _needed(rsig, rkey, "r").withColumn("cents", F.explode(F.sequence(
+    rplaces = _needed(rrows, rkey, "r").withColumn("cents", F.explode(F.sequence(
         F.col("r_cents") - params.cents, F.col("r_cents") + params.cents)))
-    lplaces = written(lplaces.join(_any_needed(rplaces, place, "r"), place))
-    rplaces = rplaces.join(_any_needed(lplaces, place, "l"), place)
-    near = written(sig.join(lplaces.select(*lkey, "near_day", "r1", "r2"), lkey))
-    rnear = written(rsig.join(rplaces.select(*rkey, "cents", "l1", "l2"), rkey).drop("r_cents"))
+    both = rplaces.groupBy(*place).agg(*[F.max(c).alias(c) for c in ("r1", "r2")])
+    near = written(_need(counts, num, den).join(lplaces.join(both, place), lkey))
+    rsig = rrows.groupBy(*rkey, "words", "need").agg(best_right.alias("m"))
+    rnear = written(rsig.join(rplaces.select(*rkey, "cents").join(_needed(near, place, "l"), place), rkey).drop("r_cents"))
     key = [*place, "k", "key"]
     just = F.col("need") == F.col("k")
     # A row is the first of its own or of the longer ones, never sent as both.
@@ -127,10 +125,6 @@ def _needed(rows: DataFrame, keys: list[str], side: str) -> DataFrame:
     return rows.groupBy(*keys).agg(*[F.max(F.col("need") == k).alias(f"{side}{k}") for k in (1, 2)])
 
 
-def _any_needed(places: DataFrame, place: list[str], side: str) -> DataFrame:
-    return places.groupBy(*place).agg(*[F.max(f"{side}{k}").alias(f"{side}{k}") for k in (1, 2)])
-
-
 def _keys(other: str) -> Column:
     """Single words as k = 1 and pairs of words as k = 2, where they decide a match: if the row needs
     just ``k``, or needs more and the ``other`` side has a row at its place that needs just ``k``."""
