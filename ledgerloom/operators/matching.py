@@ -60,22 +60,22 @@ def fuzzy_match(left: DataFrame, right: DataFrame, params: MatchParams = MatchPa
     rplaces = _needed(rrows, rkey, "r").withColumn("cents", F.explode(F.sequence(
         F.col("r_cents") - params.cents, F.col("r_cents") + params.cents)))
     both = rplaces.groupBy(*place).agg(*[F.max(c).alias(c) for c in ("r1", "r2")])
-    near = written(_need(counts, num, den).join(lplaces.join(both, place), lkey))
+    near = written(_merged(_need(counts, num, den), _merged(lplaces, both, place), lkey))
     rsig = rrows.groupBy(*rkey, "words", "need").agg(best_right.alias("m"))
-    rnear = written(rsig.join(rplaces.select(*rkey, "cents").join(_needed(near, place, "l"), place), rkey).drop("r_cents"))
+    rnear = written(_merged(rsig, _merged(rplaces.select(*rkey, "cents"), _needed(near, place, "l"), place), rkey).drop("r_cents"))
     key = [*place, "k", "key"]
     just = F.col("need") == F.col("k")
     # A row is the first of its own or of the longer ones, never sent as both.
     table = (rnear.withColumn("e", F.explode(_keys("l"))).select("*", "e.*")
              .groupBy(*key).agg(F.min(F.when(just, F.col("m"))).alias("own"), F.min(F.when(~just, F.col("m"))).alias("longer")))
     asks = near.withColumn("e", F.explode(_keys("r"))).select("*", "e.*")
-    found = asks.join(table, key).select(
+    found = _merged(asks, table, key).select(
         *SIG, F.when(just, F.least("own", "longer")).otherwise(F.col("own")).alias("m"))
     owners, big = _long_matches(near.filter(F.col("need") >= 3), rnear.filter(F.col("need") >= 3))
-    big = owners.join(big, [*place, "shared", "need"]).select(*SIG, "m")
+    big = _merged(owners, big, [*place, "shared", "need"]).select(*SIG, "m")
     best = (found.unionByName(big).filter(F.col("m").isNotNull())
             .groupBy(*SIG).agg(F.min("m").alias("m")))
-    return attach(lw, best, SIG, ["tx_id"], "left", counts=counts).select(
+    return attach(lw, best, SIG, ["tx_id"], "left", counts=counts, hint="merge").select(
         *left.columns, F.col("m.seq").alias("match_seq"), "m.match_code", "m.match_description",
         "m.match_ts")
 
@@ -95,13 +95,13 @@ def _long_matches(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFra
     place = ["customer_id", "cents", "near_day"]
     lw = left.select(*SIG, "near_day", "need", F.explode("words").alias("word"))
     rw = right.select(*place, "words", "need", "m", F.explode("words").alias("word"))
-    common = (lw.groupBy(*place, "word").agg(F.count(F.lit(1)).alias("l_n"))
-              .join(rw.groupBy(*place, "word").agg(F.count(F.lit(1)).alias("r_n")), [*place, "word"])
+    common = (_merged(lw.groupBy(*place, "word").agg(F.count(F.lit(1)).alias("l_n")),
+                      rw.groupBy(*place, "word").agg(F.count(F.lit(1)).alias("r_n")), [*place, "word"])
               .select(*place, "word", (F.col("l_n") + F.col("r_n")).alias("held")))
 
     def sets(rows: DataFrame, keys: list[str], *more: Column) -> DataFrame:
         ordered = F.sort_array(F.collect_list(F.struct("held", "word")))
-        out = rows.join(common, [*place, "word"]).groupBy(*keys, "need").agg(ordered.alias("o"), *more)
+        out = _merged(rows, common, [*place, "word"]).groupBy(*keys, "need").agg(ordered.alias("o"), *more)
         return out.filter(F.size("o") >= 3).withColumn("shared", F.col("o.word")).drop("o")
 
     owners = sets(lw, [*SIG, "near_day"])
@@ -114,12 +114,18 @@ def _long_matches(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFra
                 .withColumnsRenamed({"need": f"{side}_need", "shared": f"{side}_shared"}))
 
     t = F.least("l_need", "r_need")
-    met = (prefix(owners.select(*place, "shared", "need").distinct(), "l").join(prefix(rights, "r"), [*place, "word"])
+    met = (_merged(prefix(owners.select(*place, "shared", "need").distinct(), "l"), prefix(rights, "r"), [*place, "word"])
            .filter((t <= F.col("l_most")) & (t <= F.col("r_most")))
            .filter(F.size(F.array_intersect("l_shared", "r_shared")) >= t))
     return owners, met.groupBy(*place, F.col("l_shared").alias("shared"), F.col("l_need").alias("need")).agg(F.min("m").alias("m"))
 
 
+def _merged(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Join by sorted rows. Both sides grow with the input; a few MB of their files or shuffles unfold
+    to hundreds in the driver, were one broadcast."""
+    return left.join(right.hint("merge"), keys)
+
+
 def _needed(rows: DataFrame, keys: list[str], side: str) -> DataFrame:
     """Whether rows of a key need just one common word, and just two."""
     return rows.groupBy(*keys).agg(*[F.max(F.col("need") == k).alias(f"{side}{k}") for k in (1, 2)])

@@ -26,19 +26,21 @@ def hot_keys(counts: DataFrame, keys: list[str], n: str, min_rows: int | None =
 
 def attach(rows: DataFrame, per_key: DataFrame, keys: list[str], spread: list[str],
            how: str = "inner", counts: DataFrame | None = None, n: str = "_n",
-           min_rows: int | None = None) -> DataFrame:
+           min_rows: int | None = None, hint: str | None = None) -> DataFrame:
     """Join ``rows`` to a table with one row per key; hot keys are salted.
 
     One small job asks first how many rows each key has (``counts`` with column ``n`` if the
     caller has them) and reads back only two numbers. Without hot keys this is a plain join,
     left to Catalyst and AQE. ``spread`` names columns that tell rows of one key apart (an id);
-    the salt is a hash of them, so a task that runs twice gives the same salt.
+    the salt is a hash of them, so a task that runs twice gives the same salt. A ``hint`` says how the
+    tables are joined; only the hot keys are broadcast then.
     """
+    hinted = (lambda df: df.hint(hint)) if hint else (lambda df: df)
     if counts is None:
         counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
     hot = hot_keys(counts, keys, n, min_rows)
     if hot is None:
-        return rows.join(per_key, keys, how)
+        return rows.join(hinted(per_key), keys, how)
     hot = F.broadcast(hot)
     salts = F.coalesce(F.col("_salts"), F.lit(1).cast("bigint"))
     left = (rows.join(hot, keys, "left")
@@ -46,7 +48,7 @@ def attach(rows: DataFrame, per_key: DataFrame, keys: list[str], spread: list[st
     right = (per_key.join(hot, keys, "left")
              .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
              .drop("_salts"))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    return left.join(hinted(right), [*keys, "_salt"], how).drop("_salt")
 
 
 def _all_set(keys):

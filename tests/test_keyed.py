@@ -94,6 +94,19 @@ def test_fuzzy_match_against_brute_force(spark, tmp_path, monkeypatch):
     assert len(list((tmp_path / "ledgerloom").iterdir())) == 2
 
 
+def test_fuzzy_match_broadcasts_nothing(spark, tmp_path, monkeypatch):
+    """Its tables grow with the input and must not pass the driver, however small their files are."""
+    monkeypatch.setattr(stage, "shared_folder", lambda _: str(tmp_path))
+    rows = [(1, f"t{i}", D(2024, 7, 1 + i % 3), 100 + i, " ".join(f"w{j}" for j in range(i % 9)), i, dt.datetime(2024, 7, 1), "c") for i in range(40)]
+    both = spark.createDataFrame(rows, "customer_id long, tx_id string, tx_date date, cents long, description string, seq long, ts timestamp_ntz, code string")
+    plans, read = [], stage.written
+    monkeypatch.setattr(matching, "written", lambda df: plans.append(df) or read(df))
+    plans.append(matching.fuzzy_match(both.drop("seq", "ts", "code"), both.drop("tx_id", "tx_date")))
+    for df in plans:
+        assert df.collect()
+        assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def fold(codes):
     state, torn = None, False
     for c in codes:
