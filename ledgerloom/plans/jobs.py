@@ -78,11 +78,13 @@ def dataset_from_files(spark: SparkSession, root: str, index: DataFrame, taxonom
     ``labelled_dataset`` gives; besides, ``rejected_documents`` (run, path, reason) that are not JSON
     and ``missing_documents`` that are listed and not there. Neither ends the job.
 
-    Files are read once where a shared folder takes the texts. A report's place among its run's
-    paths orders its records, so the label of a key with conflicts does not depend on tasks.
+    Files are read once, and their documents parsed once for their rows, where a shared folder takes
+    the texts and the rows. A report's place among its run's paths orders its records, so the label of a
+    key with conflicts does not depend on tasks.
     """
     docs = written(run_files.run_documents(spark, root, index, glob))
-    out = labelled_dataset(run_files.api_rows(docs), run_files.report_rows(docs), run_files.report_groups(docs), index, taxonomy, overrides)
+    api, records = written(run_files.api_rows(docs)), written(run_files.report_rows(docs))
+    out = labelled_dataset(api, records, run_files.report_groups(docs), index, taxonomy, overrides)
     return {**out, "rejected_documents": api_json.rejected_documents(docs), "missing_documents": run_files.missing_documents(spark, root, index)}
 
 

@@ -170,11 +170,11 @@ def written_documents(spark, sf):
     """Transaction documents and reports as files, one each, and their run index: (root, index)."""
     root = scratch(spark)
     item = F.struct(F.col("tx_id").alias("id"), "amount", "direction", "description", F.col("transaction_date").alias("transactionDate"), F.col("post_date").alias("postDate"))
-    tx = api(spark, sf).groupBy("run_id", "path").agg(F.to_json(F.struct(F.array_sort(F.collect_list(F.struct("pos", item.alias("i")))).getField("i").alias("data"))).alias("value"))
+    tx = api(spark, sf).groupBy("run_id", "path").agg(F.to_json(F.struct(F.sort_array(F.collect_list(F.struct("pos", item.alias("i")))).getField("i").alias("data"))).alias("value"))
     one = F.struct(F.col("code").alias("id"), F.struct(F.struct(F.col("amount").alias("total")).alias("amount")).alias("analysis"),
                    F.array(F.struct(F.col("tx_id").alias("id"), "description", "amount", "date")).alias("transactions"))
     reports = records(spark, sf).groupBy("run_id", F.lpad(F.col("report_seq").cast("string"), 6, "0").alias("path")).agg(
-        F.to_json(F.struct(F.struct(F.array_sort(F.collect_list(F.struct("pos", one.alias("g")))).getField("g").alias("groups")).alias("data"))).alias("value"))
+        F.to_json(F.struct(F.struct(F.sort_array(F.collect_list(F.struct("pos", one.alias("g")))).getField("g").alias("groups")).alias("data"))).alias("value"))
     rows = tx.withColumns({"kind": F.lit("tx"), "path": F.element_at(F.split("path", "/"), -1)}).unionByName(reports.withColumn("kind", F.lit("report")))
     # The text writer gives one file per partition folder: a folder is a document.
     rows.select("value", F.replace("run_id", F.lit("/"), F.lit(".")).alias("run"), "kind", F.col("path").alias("doc")).write.partitionBy("run", "kind", "doc").text(root + "/docs")

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.stage import computed
+
 TX = ("id: string, amount: string, direction: string, description: string, transactionDate: string, "
       "postDate: string, subClass: string, enrich: string")
 ITEM = "id: string, description: string, amount: string, date: string"
@@ -37,11 +39,13 @@ def _filled(*options: Column) -> Column:
 def transaction_items(docs: DataFrame, value: str = "value") -> DataFrame:
     """SRC9: one row per transaction; the list is under data, under transactions, or bare."""
     doc = F.trim(F.col(value))
-    wrapped = F.from_json(doc, f"struct<data: array<struct<{TX}>>, transactions: array<struct<{TX}>>>")
-    first = F.when(F.size(wrapped["data"]) > 0, wrapped["data"]).otherwise(wrapped["transactions"])
-    items = F.when(doc.startswith("["), F.from_json(doc, f"array<struct<{TX}>>")).otherwise(first)
+    bare = doc.startswith("[")
     keep = [c for c in docs.columns if c != value]
-    return docs.select(*keep, F.posexplode(items).alias("pos", "tx")).select(*keep, "pos", "tx.*")
+    # Parsed once: an expression that names it again, and the filter made for a generator, parse again.
+    parsed = computed(docs, {"_bare": F.when(bare, F.from_json(doc, f"array<struct<{TX}>>")), "_doc": F.when(
+        ~bare, F.from_json(doc, f"struct<data: array<struct<{TX}>>, transactions: array<struct<{TX}>>>"))}).drop(value)
+    first = F.when(F.size("_doc.data") > 0, F.col("_doc.data")).otherwise(F.col("_doc.transactions"))
+    return parsed.select(*keep, F.posexplode(F.coalesce("_bare", first)).alias("pos", "tx")).select(*keep, "pos", "tx.*")
 
 
 def enrichment(enrich: Column, sub_class: Column) -> dict[str, Column]:
@@ -71,9 +75,9 @@ def api_transactions(docs: DataFrame, value: str = "value") -> DataFrame:
 
 def report_groups(docs: DataFrame, value: str = "value") -> DataFrame:
     """SRC10: one row per group of a report."""
-    groups = F.from_json(F.col(value), f"struct<data: struct<groups: array<struct<{GROUP}>>>>")["data"]["groups"]
     keep = [c for c in docs.columns if c != value]
-    return docs.select(*keep, F.posexplode(groups).alias("group_no", "g")).filter(
+    parsed = computed(docs, {"_doc": F.from_json(F.col(value), f"struct<data: struct<groups: array<struct<{GROUP}>>>>")}).drop(value)
+    return parsed.select(*keep, F.posexplode("_doc.data.groups").alias("group_no", "g")).filter(
         F.coalesce("g.id", F.lit("")) != "")
 
 

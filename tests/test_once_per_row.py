@@ -122,3 +122,39 @@ def test_short_and_long_texts_match_as_all_pairs_do(spark):
                                 "words array<string>, need int, l1 boolean, l2 boolean")
     made = [sorted({e.k for e in r.e}) for r in row.select(matching._keys("l").alias("e")).collect()]
     assert made == [[2], [1], [1, 2]]
+
+
+def test_documents_are_parsed_once(spark):
+    """A generator's expression and the filter made of it would parse a text several times."""
+    from ledgerloom.sources import api_json
+
+    docs = spark.createDataFrame([("r", "p", 0, '{"data": [{"id": "a"}]}'), ("r", "q", 1, '{"data": [], "transactions": [{"id": "b"}]}'),
+                                  ("r", "s", 2, '[{"id": "c"}]'), ("r", "t", 3, '{"data": ['), ("r", "u", 4, None)],
+                                 "run_id string, path string, seq int, value string")
+    rows = api_json.transaction_items(docs)
+    assert plan(rows).count("from_json(") == 2  # a bare list, or an object
+    assert sorted((r.path, r.pos, r.id) for r in rows.collect()) == [("p", 0, "a"), ("q", 0, "b"), ("s", 0, "c")]
+
+
+def test_dataset_from_files_parses_documents_once(spark, shared, tmp_path, monkeypatch):
+    import json
+
+    from ledgerloom.operators import labels
+    from ledgerloom.plans import jobs
+
+    item = {"id": "1", "amount": "-5.00", "direction": "debit", "description": "Shop", "transactionDate": "2024-07-01"}
+    group = {"id": "EXP-016", "transactions": [{"id": "1", "description": "Shop", "amount": "-5.00", "date": "2024-07-01"}]}
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "t.json").write_text(json.dumps({"data": [item]}))
+    (tmp_path / "raw" / "r.json").write_text(json.dumps({"data": {"groups": [group]}}))
+    index = spark.createDataFrame([("a", ["t.json"], ["r.json"], "Ann", True)], "run_id string, tx_files array<string>, affordability_files array<string>, "
+                                  "persona string, has_affordability_report boolean")
+    given, label = [], labels.label_transactions
+    monkeypatch.setattr(labels, "label_transactions", lambda api, records, *more: given.extend((api, records)) or label(api, records, *more))
+    out = jobs.dataset_from_files(spark, str(tmp_path / "raw"), index)["dataset"]
+    assert [(r.tx_id, r.label_group_code, r.label_source) for r in out.collect()] == [("1", "EXP-016", "report_id")]
+    assert len(given) == 2 and not any("from_json" in plan(df) for df in given)
+    joined = label(*given)
+    assert "min_by(struct(" not in plan(joined) and joined.collect()
+    assert "BroadcastExchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert plan(labels.with_key(given[1], F.col("date")).filter("k_day is not null")).count("regexp_replace") == 1
