@@ -83,7 +83,9 @@ def dataset_from_files(spark: SparkSession, root: str, index: DataFrame, taxonom
     key with conflicts does not depend on tasks.
     """
     docs = written(run_files.run_documents(spark, root, index, glob))
-    api, records = written(run_files.api_rows(docs)), written(run_files.report_rows(docs))
+    # A scan deals files by size, so documents of one kind are in the same few tasks; they are dealt anew.
+    dealt = docs.repartition("relative_path")
+    api, records = written(run_files.api_rows(dealt)), written(run_files.report_rows(dealt))
     out = labelled_dataset(api, records, run_files.report_groups(docs), index, taxonomy, overrides)
     return {**out, "rejected_documents": api_json.rejected_documents(docs), "missing_documents": run_files.missing_documents(spark, root, index)}
 
